@@ -234,8 +234,7 @@ def kb_magnitude(spark, sf):
 
 
 def doc_term_freq(spark, sf):
-    counts = relevance.term_counts(V.table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
-    return counts.where(F.col("term").isNotNull())
+    return relevance.document_terms(V.table(spark, sf, "documents"), "doc_id")
 
 
 def page_relevance(spark, sf):

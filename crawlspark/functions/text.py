@@ -24,6 +24,8 @@ LINK = (r"(?is)<(?:a|area|link|img|frame|iframe|script)\s(?:[^>]*?\s)?(?:href|sr
 BASE_LINK = r"(?is)<base\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 SCRIPT_BODY = r"(?is)(<script\b[^>]*>).*?</script\s*>"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
+# Fixed value: white space other than the space and the newline.
+OTHER_BLANKS = r"\t\x0B\f\r\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 META = r"(?is)<meta\s[^>]*>"
 META_NAME = r"(?is)\s(?:name|property|http-equiv)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 META_CONTENT = r"(?is)\scontent\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
@@ -112,5 +114,8 @@ def base_url(url: Column, body: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Split at spaces and newlines; tokens lose surrounding blanks, and empty ones go."""
-    ends_cut = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-    return F.filter(F.split(ends_cut, r"(?U)\s*[ \n]\s*"), lambda token: token != "")
+    plain = F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " ")
+    # Only texts with other blanks (tabs, no-break spaces, ...) need the trimming patterns.
+    trimmed = F.regexp_replace(text, f"^[ \\n{OTHER_BLANKS}]+|[ \\n{OTHER_BLANKS}]+$", "")
+    padded = F.split(trimmed, f"[{OTHER_BLANKS}]*[ \\n][ \\n{OTHER_BLANKS}]*")
+    return F.array_remove(F.when(text.rlike(f"[{OTHER_BLANKS}]"), padded).otherwise(plain), "")

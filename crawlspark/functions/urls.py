@@ -36,23 +36,41 @@ def _without_dot_segments(path: Column) -> Column:
     return F.concat(F.array_join(kept, "/"), F.when(ends_in_directory, "/").otherwise(""))
 
 
-def resolve_link(base: Column, link: Column) -> Column:
-    """Absolute URL of `link` as seen from the page at `base`."""
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
+def base_parts(base: Column) -> Column:
+    """The parts of a page's URL that links on it are resolved against."""
     site = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
-    directory = F.when(page == site, F.concat(site, F.lit("/"))).otherwise(
-        F.regexp_extract(page, r"^(.*/)", 1))
-    joined = (
-        F.when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("/"), F.concat(site, link))
-        .when(link.startswith("?"), F.concat(page, link))
-        .when(link.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), link))
-        .when(link == "", base)
-        .otherwise(F.concat(directory, link))
+    return F.struct(
+        F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1).alias("scheme"),
+        site.alias("site"),
+        page.alias("page"),
+        F.when(page == site, F.concat(site, F.lit("/"))).otherwise(
+            F.regexp_extract(page, r"^(.*/)", 1)).alias("directory"),
+        F.regexp_extract(base, r"^([^#]*)", 1).alias("address"),
     )
-    head = F.regexp_extract(joined, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    path = F.regexp_extract(joined, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    tail = F.regexp_extract(joined, r"^[^?#]*(.*)$", 1)
-    tidy = F.when(path.contains("/."), F.concat(head, _without_dot_segments(path), tail)).otherwise(joined)
-    return F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link).otherwise(tidy)
+
+
+def absolute_link(parts: Column, link: Column) -> Column:
+    """`link` as seen from the page whose `base_parts` are given; dot segments stay."""
+    return (
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
+        .when(link.startswith("//"), F.concat(parts["scheme"], link))
+        .when(link.startswith("/"), F.concat(parts["site"], link))
+        .when(link.startswith("?"), F.concat(parts["page"], link))
+        .when(link.startswith("#"), F.concat(parts["address"], link))
+        .otherwise(F.concat(parts["directory"], link))
+    )
+
+
+def tidy_link(url: Column) -> Column:
+    """An absolute URL with the `.` and `..` segments of its path applied."""
+    head = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    tail = F.regexp_extract(url, r"^[^?#]*(.*)$", 1)
+    has_dots = url.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^?#]*/\.")
+    return F.when(has_dots, F.concat(head, _without_dot_segments(path), tail)).otherwise(url)
+
+
+def resolve_link(base: Column, link: Column) -> Column:
+    """Absolute URL of `link` on the page at `base`, for a single pair of columns."""
+    return tidy_link(absolute_link(base_parts(base), link))

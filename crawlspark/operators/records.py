@@ -1,5 +1,6 @@
 """Flat documents and search-index records built from crawled content."""
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -9,10 +10,11 @@ from crawlspark.fixed_values import DUMP_RECORD_VERSION, INDEX_RECORD_VERSION
 from crawlspark.functions.filters import is_image, is_parsable, is_text_type, is_usable
 from crawlspark.functions.identity import body_text, document_id, index_id, sha_hex
 from crawlspark.functions.state import interval_days, last_modified_millis, status_code, status_name
-from crawlspark.functions.text import base_url, extract_text, gated_text, metadata_map, raw_links
+from crawlspark.functions.text import extract_text, gated_text, metadata_map
 from crawlspark.functions.times import http_date_millis, http_date_text, index_time
-from crawlspark.functions.urls import host, resolve_link, stored_path
+from crawlspark.functions.urls import host, stored_path
 from crawlspark.operators.joins import skew_safe_join
+from crawlspark.operators.links import with_outlinks
 from crawlspark.operators.metadata import all_fields, distinct_fields, field_maps
 
 
@@ -30,12 +32,13 @@ def _column_or_null(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(kind)
 
 
-def dump_records(content: DataFrame, labels: RunLabels, expanded: bool = False) -> DataFrame:
+def dump_records(content: DataFrame, labels: RunLabels, expanded: bool = False,
+                 carry: Sequence[str] = ()) -> DataFrame:
     """Flat documents. Input: content columns, with `parent` and `inlinks` where links are known.
 
     The document time is `fetch_time` where that column exists and is set, else
     the HTTP date. Links go to image documents only; `expanded` gives them to
-    every type and adds the host.
+    every type and adds the host. Columns named in `carry` are passed through.
     """
     url, content_type = F.col("url"), F.col("content_type")
     body = body_text(F.col("content"))
@@ -67,7 +70,7 @@ def dump_records(content: DataFrame, labels: RunLabels, expanded: bool = False)
         F.when(linked, parent).alias("obj_parent"),
         F.when(linked & inlinks.isNotNull(), F.struct(inlinks.alias("inlinks"))).alias("crawl_data"),
     ]
-    return content.select(*columns)
+    return content.select(*columns, *carry)
 
 
 def minimal_records(content: DataFrame, labels: RunLabels) -> DataFrame:
@@ -95,11 +98,10 @@ def index_records(content: DataFrame, crawl_id: str, crawler: str, indexed_at: C
     is_text = is_text_type(content_type)
     if indexed_at is None:
         indexed_at = F.unix_millis(F.current_timestamp())
-    links = F.array_distinct(F.transform(raw_links(body), lambda link: resolve_link(base_url(url, body), link)))
-    prepared = content.withColumns({
-        "body": body,
-        "fields": F.when(is_text, distinct_fields(all_fields(metadata_map(body)))),
-    })
+    # Pages that are not text have no body to parse, so none of the patterns run on them.
+    parsed = with_outlinks(content.withColumn("body", F.when(is_text, body)))
+    prepared = parsed.withColumn("metadata_fields", all_fields(metadata_map(F.col("body")))).withColumn(
+        "metadata_fields", distinct_fields(F.col("metadata_fields")))
     return prepared.select(
         index_id(url, F.lit(crawl_id), F.col("fetch_time")).alias("id"),
         content_type,
@@ -107,9 +109,9 @@ def index_records(content: DataFrame, crawl_id: str, crawler: str, indexed_at: C
         F.lit(crawl_id).alias("crawl_id"),
         url,
         index_time(F.col("fetch_time")).alias("fetch_timestamp"),
-        F.when(is_text, F.col("body")).alias("raw_content"),
+        F.col("body").alias("raw_content"),
         F.when(is_text, extract_text(F.col("body"))).alias("extracted_text"),
-        F.when(is_text, links).alias("outlinks"),
+        F.when(is_text, F.col("outlinks")).alias("outlinks"),
         status_name(F.col("status")).alias("status_name"),
         status_code(F.col("metadata")).alias("status_code"),
         "score",
@@ -119,13 +121,13 @@ def index_records(content: DataFrame, crawl_id: str, crawler: str, indexed_at: C
         F.col("retries").alias("retries_since_fetch"),
         F.col("fetch_interval").alias("retry_interval_seconds"),
         interval_days(F.col("fetch_interval")).alias("retry_interval_days"),
-        sha_hex(F.col("body")).alias("signature"),
+        sha_hex(body).alias("signature"),
         F.lit(INDEX_RECORD_VERSION).alias("version"),
         _column_or_null(content, "parent", "string").alias("obj_parent"),
         _column_or_null(content, "inlinks", "array<string>").alias("inlinks"),
         stored_path(url).alias("obj_relative_path"),
         index_time(indexed_at).alias("indexed_at"),
-        *[column.alias(name) for name, column in field_maps(F.col("fields")).items()],
+        *[column.alias(name) for name, column in field_maps(F.when(is_text, F.col("metadata_fields"))).items()],
     )
 
 

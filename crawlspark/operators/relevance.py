@@ -37,6 +37,15 @@ def term_counts(texts: DataFrame, *keys: str, lower: bool = False, num_features:
     )
 
 
+def document_terms(texts: DataFrame, key: str) -> DataFrame:
+    """`term`, `tf` per text, for texts that are unique per key.
+
+    The texts are shuffled once by key; counting then stays within that
+    partitioning, so the much longer list of terms is never shuffled.
+    """
+    return term_counts(texts.select(key, "text").repartition(key), key).where(F.col("term").isNotNull())
+
+
 # --- knowledge base: term frequency x inverse document frequency, lower case, without stop words ---
 
 def kb_terms(kb: DataFrame, stop_words: DataFrame) -> DataFrame:
