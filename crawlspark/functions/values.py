@@ -13,13 +13,13 @@ def tidy_value(value: Column) -> Column:
 
 
 def value_kind(value: Column) -> Column:
-    """`long`, `boolean`, `double` or `text` for a value in text form."""
+    """`long`, `boolean`, `double` or `text` for a value in text form; null for null."""
     text = tidy_value(value)
     return (
         F.when(text.rlike(LONG_PATTERN), F.lit("long"))
         .when(text.rlike(BOOLEAN_PATTERN), F.lit("boolean"))
         .when(text.rlike(DOUBLE_PATTERN), F.lit("double"))
-        .otherwise(F.lit("text"))
+        .when(text.isNotNull(), F.lit("text"))
     )
 
 
