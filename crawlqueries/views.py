@@ -11,7 +11,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.functions.times import _clock
+from crawlspark.functions.times import clock
 from crawlspark.operators.records import RunLabels, dump_records
 from crawlspark.sources.readers import union_all
 
@@ -43,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _http_date(seconds: Column) -> Column:
     seconds = seconds.cast("bigint")
     day = F.date_from_unix_date(F.floor(seconds / 86_400).cast("int"))
-    return F.concat(F.date_format(day, "EEE, dd MMM yyyy"), F.lit(" "), _clock(seconds * 1000), F.lit(" GMT"))
+    return F.concat(F.date_format(day, "EEE, dd MMM yyyy"), F.lit(" "), clock(seconds * 1000), F.lit(" GMT"))
 
 
 def _part_url(key: Column) -> Column:

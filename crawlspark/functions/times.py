@@ -20,7 +20,8 @@ def http_date_text(text: Column) -> Column:
     return http_date_millis(text).cast("string")
 
 
-def _clock(millis: Column) -> Column:
+def clock(millis: Column) -> Column:
+    """Time of day as `18:00:00`."""
     second_of_day = F.floor(F.pmod(millis, F.lit(86_400_000)) / 1000).cast("int")
 
     def two_digits(value: Column) -> Column:
@@ -40,9 +41,9 @@ def _day(millis: Column) -> Column:
 
 def index_time(millis: Column) -> Column:
     """Epoch milliseconds as `2016-08-30T18:00:00Z`."""
-    return F.concat(_day(millis), F.lit("T"), _clock(millis), F.lit("Z"))
+    return F.concat(_day(millis), F.lit("T"), clock(millis), F.lit("Z"))
 
 
 def plain_time(millis: Column) -> Column:
     """Epoch milliseconds as `2016-08-30 18:00:00`."""
-    return F.concat(_day(millis), F.lit(" "), _clock(millis))
+    return F.concat(_day(millis), F.lit(" "), clock(millis))

@@ -28,9 +28,9 @@ def list_kind(values: Column) -> Column:
     return value_kind(F.get(values, F.lit(0)))
 
 
-def same_kind_values(values: Column) -> Column:
-    """The values of a list that share the kind of its first value."""
-    return F.transform(F.filter(values, lambda value: value_kind(value) == list_kind(values)), tidy_value)
+def values_of_kind(values: Column, kind: Column) -> Column:
+    """The values of a list that are of the given kind; with `list_kind`, those like its first value."""
+    return F.transform(F.filter(values, lambda value: value_kind(value) == kind), tidy_value)
 
 
 def field_name(name: Column, kind: Column, is_multiple: Column) -> Column:

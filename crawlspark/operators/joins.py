@@ -36,6 +36,18 @@ def table_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """A small derived table that several parts of a plan use, written once where the cluster allows it.
+
+    Where a shared checkpoint folder is configured (`spark.checkpoint.dir`) the
+    table is checkpointed there, so it is computed once and outlives lost
+    executors. Elsewhere it is returned as it is and computed where it is used.
+    """
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        return df
+    return df.checkpoint()
+
+
 def lookup_join(left: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left",
                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join a large table to a lookup table of flat columns.

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from crawlspark.functions.filters import is_text_type
 from crawlspark.functions.identity import body_text
 from crawlspark.functions.text import metadata_map
-from crawlspark.functions.values import list_kind, metadata_field_name, same_kind_values
+from crawlspark.functions.values import list_kind, metadata_field_name, values_of_kind
 
 
 def page_metadata(content: DataFrame) -> DataFrame:
@@ -21,18 +21,18 @@ def all_fields(metadata: Column) -> Column:
     """Typed fields of a metadata map, by original name; names without values are dropped."""
     entries = F.filter(F.array_sort(F.map_entries(metadata)), lambda entry: F.size(entry["value"]) > 0)
 
-    def typed(entry: Column) -> Column:
-        kind = list_kind(entry["value"])
-        multiple = F.size(entry["value"]) > 1
-        return F.struct(
-            entry["key"].alias("name"),
-            metadata_field_name(entry["key"], kind, multiple).alias("field"),
-            kind.alias("kind"),
-            multiple.alias("is_multiple"),
-            same_kind_values(entry["value"]).alias("values"),
-        )
-
-    return F.transform(entries, typed)
+    # Two steps, so that the patterns behind a kind run once per name.
+    with_kind = F.transform(entries, lambda entry: F.struct(
+        entry["key"].alias("name"),
+        list_kind(entry["value"]).alias("kind"),
+        (F.size(entry["value"]) > 1).alias("is_multiple"),
+        entry["value"].alias("values")))
+    return F.transform(with_kind, lambda entry: F.struct(
+        entry["name"].alias("name"),
+        metadata_field_name(entry["name"], entry["kind"], entry["is_multiple"]).alias("field"),
+        entry["kind"].alias("kind"),
+        entry["is_multiple"].alias("is_multiple"),
+        values_of_kind(entry["values"], entry["kind"]).alias("values")))
 
 
 def distinct_fields(fields: Column) -> Column:

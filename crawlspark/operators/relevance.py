@@ -15,7 +15,7 @@ from crawlspark.functions.filters import is_parsable, is_text_type
 from crawlspark.functions.identity import body_text
 from crawlspark.functions.text import extract_text, tokens
 from crawlspark.functions.urls import host
-from crawlspark.operators.joins import lookup_join, skew_safe_join
+from crawlspark.operators.joins import lookup_join, settled, skew_safe_join
 
 SCORE_DIGITS = 10
 
@@ -151,11 +151,12 @@ def page_relevance(content: DataFrame, kb: DataFrame, stop_words: DataFrame) ->
     once: distinct bodies are shuffled by hash, all term work stays within that
     partitioning, and the scores are joined back to the rows.
     """
-    profile = kb_profile(kb, stop_words)
+    profile = settled(kb_profile(kb, stop_words).select("term", "weight"))
     body = F.when(is_parsable(F.col("content_type")), body_text(F.col("content"))).otherwise("")
     pages = content.where(is_text_type(F.col("content_type"))).select(
         "url", F.coalesce(body, F.lit("")).alias("body"))
-    keyed = pages.withColumn("body_key", F.sha2("body", 256))
+    # Never null, so the join below adds no null check that would hash every body again.
+    keyed = pages.withColumn("body_key", F.coalesce(F.sha2("body", 256), F.lit("")))
     texts = keyed.select("body_key", extract_text(F.col("body")).alias("text")).groupBy("body_key").agg(
         F.first("text").alias("text"))
     scores = score_texts(texts, "body_key", profile, lower=True,
@@ -167,14 +168,14 @@ def page_relevance(content: DataFrame, kb: DataFrame, stop_words: DataFrame) ->
 def mean_similarity(texts: DataFrame, kb: DataFrame, key: str = "url",
                     num_features: int | None = None) -> DataFrame:
     """`key`, `score`: mean cosine of each text with all knowledge-base texts."""
-    return score_texts(texts, key, mean_vector_profile(kb, num_features), unseen=unseen_factor(kb),
-                       num_features=num_features)
+    profile = settled(mean_vector_profile(kb, num_features))
+    return score_texts(texts, key, profile, unseen=unseen_factor(kb), num_features=num_features)
 
 
 def pooled_similarity(texts: DataFrame, kb: DataFrame, key: str = "url",
                       num_features: int | None = None) -> DataFrame:
     """`key`, `score`: cosine of each text with the pooled knowledge base."""
-    profile = pooled_profile(kb, num_features)
+    profile = settled(pooled_profile(kb, num_features))
     return score_texts(texts, key, profile, unseen=unseen_factor(kb),
                        magnitude=profile_magnitude(profile).scalar(), num_features=num_features)
 

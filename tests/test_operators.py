@@ -233,6 +233,16 @@ def test_mean_similarity_equals_all_pairs(kb, pages, num_features):
     assert [row.url for row in relevance.bottom(scores, "url", 1).collect()] == ["http://b.org/2"]
 
 
+def test_scores_are_the_same_with_a_checkpoint_folder(spark, kb, pages, tmp_path):
+    words = spark.createDataFrame([(word,) for word in STOP], "word string")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(str(tmp_path))
+    expected = expected_relevance()
+    for row in relevance.page_relevance(pages, kb, words).collect():
+        assert row.score == pytest.approx(expected[row.url], abs=1e-12)
+
+
 def test_pooled_similarity(kb, pages):
     vectors, docs = smoothed_vectors()
     pooled = Counter()
