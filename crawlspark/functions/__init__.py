@@ -1 +1 @@
-"""Column expressions. Everything here runs inside the JVM; no Python UDFs."""
+"""Column expressions. All run inside the JVM, but for the optional `entities`."""

@@ -20,8 +20,9 @@ def document_id(url: Column, timestamp: Column) -> Column:
 
 
 def index_id(url: Column, crawl_id: Column, fetch_time: Column) -> Column:
-    """Identifier of a search-index record."""
-    return sha_hex(F.concat(url, F.lit("-"), crawl_id, F.lit("-"), fetch_time.cast("string")))
+    """Identifier of a search-index record; an unknown time hashes as the text `null`."""
+    time = F.coalesce(fetch_time.cast("string"), F.lit("null"))
+    return sha_hex(F.concat(url, F.lit("-"), crawl_id, F.lit("-"), time))
 
 
 def plain_path(path: Column) -> Column:

@@ -1,5 +1,7 @@
 """Plain text, metadata, links and tokens of a page, as column expressions."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,22 +45,23 @@ def is_markup(body: Column) -> Column:
     return body.rlike(MARKUP_START)
 
 
-def markup_to_text(markup: Column) -> Column:
+def markup_to_text(markup: Column, decode: Callable[[Column], Column] = decode_entities) -> Column:
     """Visible text: no comments, head, scripts, styles or tags; blanks collapsed, entities decoded."""
     text = markup
     for pattern in (COMMENT, HEAD, CODE_BLOCK, TAG, BLANKS):
         text = F.regexp_replace(text, pattern, " ")
-    return decode_entities(F.trim(text))
+    return decode(F.trim(text))
 
 
-def extract_text(body: Column) -> Column:
+def extract_text(body: Column, decode: Callable[[Column], Column] = decode_entities) -> Column:
     """Text of a page body: markup is stripped, plain text stays as it is, null becomes empty."""
-    return F.coalesce(F.when(is_markup(body), markup_to_text(body)).otherwise(body), F.lit(""))
+    return F.coalesce(F.when(is_markup(body), markup_to_text(body, decode)).otherwise(body), F.lit(""))
 
 
-def gated_text(content_type: Column, body: Column) -> Column:
+def gated_text(content_type: Column, body: Column,
+               decode: Callable[[Column], Column] = decode_entities) -> Column:
     """`extract_text` for parsable types, empty for every other type."""
-    return F.when(is_parsable(content_type), extract_text(body)).otherwise(F.lit(""))
+    return F.when(is_parsable(content_type), extract_text(body, decode)).otherwise(F.lit(""))
 
 
 def _unquote(value: Column) -> Column:

@@ -1,6 +1,6 @@
 """Flat documents and search-index records built from crawled content."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +10,7 @@ from crawlspark.fixed_values import DUMP_RECORD_VERSION, INDEX_RECORD_VERSION
 from crawlspark.functions.filters import is_image, is_parsable, is_text_type, is_usable
 from crawlspark.functions.identity import body_text, document_id, index_id, sha_hex
 from crawlspark.functions.state import interval_days, last_modified_millis, status_code, status_name
-from crawlspark.functions.text import extract_text, gated_text, metadata_map
+from crawlspark.functions.text import decode_entities, extract_text, gated_text, metadata_map
 from crawlspark.functions.times import http_date_millis, http_date_text, index_time
 from crawlspark.functions.urls import host, stored_path
 from crawlspark.operators.joins import skew_safe_join
@@ -136,10 +136,10 @@ def usable_urls(content: DataFrame) -> DataFrame:
     return content.where(is_usable(F.col("content_type"), F.col("content"))).select("url")
 
 
-def plain_texts(content: DataFrame) -> DataFrame:
+def plain_texts(content: DataFrame, decode: Callable[[Column], Column] = decode_entities) -> DataFrame:
     """`url` and `text` of every text page, with `segment` where the input has one."""
     extra = [name for name in ("segment",) if name in content.columns]
-    text = gated_text(F.col("content_type"), body_text(F.col("content")))
+    text = gated_text(F.col("content_type"), body_text(F.col("content")), decode)
     return content.where(is_text_type(F.col("content_type"))).select("url", *extra, text.alias("text"))
 
 

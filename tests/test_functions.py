@@ -5,6 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from crawlspark.functions.entities import decode_all_entities
 from crawlspark.functions import filters, identity, state, text, times, urls, values
 
 
@@ -136,6 +137,12 @@ def test_plain_text(spark):
     assert gated == [""]
 
 
+def test_all_entities(spark):
+    pages = ["<html><body>&eacute;&#233;&#xE9; &amp;lt; x</body>", "plain &eacute;", "<html>none</html>", None]
+    assert apply(spark, lambda body: text.extract_text(body, decode_all_entities), pages) == [
+        "ééé &lt; x", "plain &eacute;", "none", ""]
+
+
 def test_metadata(spark):
     page = ('<html><head><title> A\n title</title><meta charset=utf-8><META name="k" content="1">'
             "<meta content='2 &amp; 3' name='k'><meta property=\"og:x\" content=\"y\"><meta http-equiv=a content=b>"

@@ -147,6 +147,11 @@ def test_index_records_as_flat_json(spark, content):
     image = docs["http://h/i.png"]
     assert image["inlinks"] == ["http://h/a"] and "raw_content" not in image and "outlinks" not in image
     assert "status_name" not in image and image["signature"] == sha("bytes")
+    left = dumps.index_dump(pages, state.where("url = 'http://h/x'"), edges, "run", "c", how="left")
+    kept = {row.url: row for row in left.collect()}
+    assert set(kept) == {"http://h/x", "http://h/a", "http://h/i.png", "http://h/p"}
+    assert kept["http://h/i.png"].id == sha("http://h/i.png-run-null")
+    assert kept["http://h/i.png"].inlinks == ["http://h/a"] and kept["http://h/p"].inlinks is None
 
 
 def test_lookup_join_beyond_the_bound(spark):
@@ -158,6 +163,34 @@ def test_lookup_join_beyond_the_bound(spark):
         assert sorted((row.k, row.w is None) for row in rows) == [("a", False), ("b", True)]
 
 
+def test_hot_groups_stay_whole(spark):
+    """One url, body, host and link target own a third of all rows; nothing is dropped."""
+    n = 3000
+    i = F.col("id")
+    hot = i % 3 == 0
+    url = F.when(hot, "http://hot/x").otherwise(F.concat(F.lit("http://h"), (i % 7).cast("string"), F.lit("/"), i))
+    pages = spark.range(n).select(
+        F.lit("s").alias("segment"), url.alias("url"), F.lit("text/plain").alias("content_type"),
+        F.when(hot, F.lit("same " * 40)).otherwise(F.concat(F.lit("word " * 40), i.cast("string"))).alias("content"),
+        F.lit(None).cast("string").alias("http_date"))
+    edges = spark.range(n).select(F.when(hot, "http://hot/x").otherwise(url).alias("to_url"),
+                                  F.concat(F.lit("http://f/"), F.lpad(i.cast("string"), 5, "0")).alias("from_url"))
+    linked = dumps.linked_dump(pages, edges, LABELS)
+    assert linked.count() == n and linked.where("url = 'http://hot/x'").count() == n // 3
+    sets = {row.url: len(row.inlinks) for row in inlink_sets_of(edges, 99)}
+    assert sets["http://hot/x"] == 100 and sum(sets.values()) == 100 + n * 2 // 3
+    counts = {row.host: row.n_urls for row in stats.host_counts(pages).collect()}
+    assert counts["hot"] == 1 and sum(counts.values()) == 1 + n * 2 // 3
+    kb = spark.createDataFrame([("k", "same thing"), ("l", "other")], "kb_url string, kb_text string")
+    none = spark.createDataFrame([], "word string")
+    scores = relevance.page_relevance(pages, kb, none)
+    assert scores.count() == n and scores.where("score > 0").count() == n // 3
+
+
+def inlink_sets_of(edges, limit):
+    return links.inlink_sets(edges, max_inlinks=limit).collect()
+
+
 # --- relevance against plain Python ---
 
 KB = [("k1", "Apple pie the apple"), ("k2", "pear the Tree"), ("k3", ""), ("k2", "apple tart the"),
