@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from crawlqueries import views as V
 from crawlspark.functions import filters, state, times
+from crawlspark.functions.entities import decode_all_entities
 from crawlspark.functions.identity import body_text, document_id
 from crawlspark.functions.text import gated_text
 from crawlspark.operators import dedup, metadata, records, relevance, stats
@@ -92,9 +93,7 @@ def _field_texts(column: str) -> Column:
     return F.transform(entries, lambda entry: F.concat(entry["key"], F.lit("="), entry["value"].cast("string")))
 
 
-def index_dump(spark, sf):
-    index = dumps.index_dump(V.content(spark, sf), V.state(spark, sf), V.links(spark, sf), V.CRAWL_ID,
-                             V.LABELS.crawler)
+def show_index(index: DataFrame) -> DataFrame:
     fields = [_field_texts(name) for name in index.columns if name.startswith("md_")]
     dynamic = F.array_join(F.array_sort(F.concat(*fields)), ";").alias("dynamic_fields")
     fixed = [column for column in index.columns if not column.startswith("md_") and column != "indexed_at"]
@@ -102,6 +101,16 @@ def index_dump(spark, sf):
                           rounded(name) if name == "score" else F.col(name) for name in fixed], dynamic)
 
 
+def index_dump(spark, sf):
+    return show_index(dumps.index_dump(V.content(spark, sf), V.state(spark, sf), V.links(spark, sf), V.CRAWL_ID,
+                                       V.LABELS.crawler))
+
+
+def index_dump_left(spark, sf):
+    return show_index(dumps.index_dump(V.content(spark, sf), V.state(spark, sf), V.links(spark, sf), V.CRAWL_ID,
+                                       V.LABELS.crawler, how="left"))
+
+
 def status_and_retry(spark, sf):
     return V.state(spark, sf).select(
         "url",
@@ -167,6 +176,10 @@ def plain_text(spark, sf):
     return records.plain_texts(V.content(spark, sf)).select("url", "text")
 
 
+def plain_text_all_entities(spark, sf):
+    return records.plain_texts(V.content(spark, sf), decode_all_entities).select("url", "text")
+
+
 def text_mime_filter(spark, sf):
     return V.content(spark, sf).where(filters.is_text_type(F.col("content_type"))).select("url", "content_type")
 
@@ -276,10 +289,10 @@ def bottom_urls(spark, sf):
 QUERIES = {query.__name__: query for query in (
     host_url_counts, crawl_totals, distinct_urls, distinct_hosts,
     cdr_ids, cdr_dump_linked, cdr_dump_linked_left, cdr_dump_expanded, cdr_dump_state_time, cdr_dump_unlinked,
-    cdr_minimal, index_dump, status_and_retry, fetch_time_text,
+    cdr_minimal, index_dump, index_dump_left, status_and_retry, fetch_time_text,
     image_paths, image_ids, image_relink,
     dedup_index, dedup_apply, segment_union, segment_merge, dedup_url_text,
-    url_list, plain_text, text_mime_filter, page_filter, parse_gate,
+    url_list, plain_text, plain_text_all_entities, text_mime_filter, page_filter, parse_gate,
     page_outlinks, link_graph, inlink_sets, inlink_sets_limited,
     page_metadata, typed_metadata, field_catalogue,
     kb_term_freq, kb_idf, kb_profile, kb_magnitude, doc_term_freq,

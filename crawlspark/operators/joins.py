@@ -43,8 +43,12 @@ def settled(df: DataFrame) -> DataFrame:
     table is checkpointed there, so it is computed once and outlives lost
     executors. Elsewhere it is returned as it is and computed where it is used.
     """
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        return df
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            return df
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
