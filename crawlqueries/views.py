@@ -11,6 +11,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlspark.fixed_values import LAST_MODIFIED_KEY, PROTOCOL_CODE_KEY
 from crawlspark.functions.times import clock
 from crawlspark.operators.records import RunLabels, dump_records
 from crawlspark.sources.readers import union_all
@@ -159,8 +160,8 @@ def state(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.col("url")
 
     def metadata(modified: Column, code: Column) -> Column:
-        pairs = F.array(F.struct(F.lit("pst").alias("k"), modified.alias("v")),
-                        F.struct(F.lit("nutch.protocol.code").alias("k"), code.alias("v")))
+        pairs = F.array(F.struct(F.lit(LAST_MODIFIED_KEY).alias("k"), modified.alias("v")),
+                        F.struct(F.lit(PROTOCOL_CODE_KEY).alias("k"), code.alias("v")))
         return F.map_from_entries(F.filter(pairs, lambda pair: pair["v"].isNotNull())).alias("metadata")
 
     secure = url.startswith("https")
