@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlspark.llm import langid, mixing, pii, secrets, warc
+from crawlspark.llm import langid, mixing, pii, recompression, secrets, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +29,16 @@ def op7_secret_scan(spark, sf_dir):
     return secrets.find_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op10_recompression_dedup(spark, sf_dir):
+    return recompression.remove_later(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {query.__name__: query for query in (
-    op1_language_id, op2_personal_data, op3_warc_chunks, op6_fair_queue_mix, op7_secret_scan)}
+    op1_language_id, op2_personal_data, op3_warc_chunks, op6_fair_queue_mix, op7_secret_scan,
+    op9_suffix_dedup, op10_recompression_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
