@@ -9,7 +9,7 @@ neighbouring symbols alone; symbols never grow beyond the round's cap. Equal win
 therefore have equal symbols except within `margin(caps)` words of their ends.
 
 A window's anchor is the symbol with the least name in that interior, the leftmost of equals. A shared
-anchor with equal words all around it reveals a repeat, and `repeats` verifies whole windows.
+anchor with equal words all around it reveals a repeat, and `repeats` verifies it window by window.
 Rounds end with symbols of four words: a further round could leave a 50-word window without
 a symbol that is sure to be whole.
 
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.llm.fingerprints import Sequence, mix, window_minima, word_bounds, word_items
-from crawlspark.llm.repeats import STRETCH, by_document, covered, shared_stretches, single_windows
+from crawlspark.llm.repeats import decided, merged_runs, with_lists
 from crawlspark.llm.shared import arrow_rows
 from crawlspark.llm.suffixes import document_rows, gathered
 
@@ -109,58 +109,48 @@ def anchor_stretches(items: np.ndarray, other: np.ndarray, width: int):
     return core.view(np.int64), full.view(np.int64), first, last - first + 1
 
 
-def _stretches(width: int):
-    def work(batches):
-        def parts():
-            for doc_id, data in document_rows(batches):
-                if doc_id is None or not data:
-                    continue
-                codes = np.frombuffer(data, np.uint8)
-                items, other = word_items(codes, 0), word_items(codes, 1)
-                for low in range(0, len(items) - width + 1, PIECE):
-                    piece = slice(low, low + PIECE + width - 1)
-                    key, full, first, count = anchor_stretches(items[piece], other[piece], width)
-                    yield key, full, doc_id, (first + low) << 16 | count
+def _level(width: int):
+    def stretches(cell: int):
+        def work(batches):
+            def parts():
+                for doc_id, data, *lists in document_rows(batches):
+                    if doc_id is None or not data:
+                        continue
+                    codes = np.frombuffer(data, np.uint8)
+                    items, other = word_items(codes, 0), word_items(codes, 1)
+                    if lists:
+                        starts = windows_of(lists[0])
+                        key = Sequence(items, 0).hashes(starts, starts + width).view(np.int64)
+                        full = Sequence(other, 1).hashes(starts, starts + width).view(np.int64)
+                        yield key, full, doc_id, starts << 16 | 1
+                        continue
+                    for low in range(0, len(items) - width + 1, PIECE):
+                        piece = slice(low, low + PIECE + width - 1)
+                        key, full, first, count = anchor_stretches(items[piece], other[piece], width)
+                        yield key, full, doc_id, (first + low) << 16 | count
 
-        yield from gathered(parts())
+            yield from gathered(parts())
 
-    return work
+        return work
 
+    return stretches
 
-def _windows(width: int):
-    def work(batches):
-        def parts():
-            for doc_id, data, ats in document_rows(batches):
-                codes, ats = np.frombuffer(data, np.uint8), np.sort(np.array(ats, np.int64))
-                first, count = ats >> 16, ats & 0xFFFF
-                starts = np.unique(np.repeat(first - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum()))
-                items, other = word_items(codes, 0), word_items(codes, 1)
-                done = 0
-                while done < len(starts):
-                    low = int(starts[done])
-                    stop = int(np.searchsorted(starts, low + PIECE))
-                    piece, own = slice(low, low + PIECE + width), starts[done:stop] - low
-                    key = Sequence(items[piece], 0).hashes(own, own + width).view(np.int64)
-                    full = Sequence(other[piece], 1).hashes(own, own + width).view(np.int64)
-                    yield key, full, doc_id, (own + low) << 16 | 1
-                    done = stop
 
-        yield from gathered(parts())
-
-    return work
+def windows_of(ats: list[int]) -> np.ndarray:
+    """First words of all windows of the stretches in `ats`."""
+    ats = np.sort(np.array(ats, np.int64))
+    first, count = ats >> 16, ats & 0xFFFF
+    return np.unique(np.repeat(first - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum()))
 
 
 def later_windows(documents: DataFrame, width: int = 50) -> DataFrame:
     """`doc_id`, `at` of stretches whose every window also starts in a document with a smaller doc_id."""
-    if width < 2 * margin() + 2 * CAPS[-1]:
+    reach = width - 2 * margin() - CAPS[-1] + 1
+    if reach < CAPS[-1]:
         raise ValueError(f"windows of {width} words are too short for symbols of {CAPS[-1]} words")
-    texts = documents.selectExpr("cast(doc_id as bigint) as doc_id", "text")
-    shared = shared_stretches(texts.mapInArrow(_stretches(width), STRETCH))
     # The document that has a stretch first stands for all, and has to be compared itself.
-    open_rows = shared.where("unlike and doc_id = first_doc")
-    windows = shared_stretches(single_windows(texts, open_rows, _windows(width)))
-    later = F.col("doc_id") > F.col("first_doc")
-    return shared.where(later).select("doc_id", "at").union(windows.where(later).select("doc_id", "at"))
+    return decided(documents, _level(width), (reach, 1), F.col("doc_id") > F.col("first_doc"),
+                   F.col("doc_id") == F.col("first_doc"))
 
 
 def remove_later(documents: DataFrame, width: int = 50) -> DataFrame:
@@ -168,10 +158,10 @@ def remove_later(documents: DataFrame, width: int = 50) -> DataFrame:
     texts = documents.selectExpr("cast(doc_id as bigint) as doc_id", "text")
 
     def work(rows):
-        for doc_id, data, ats in rows:
+        for doc_id, data, cuts in rows:
             codes = np.frombuffer(data or b"", np.uint8)
             starts, ends = word_bounds(codes)
-            runs = list(zip(*[side.tolist() for side in covered(ats, width)])) if ats else []
+            runs = list(zip((cuts or [])[::2], (cuts or [])[1::2]))
             keep = np.ones(len(starts), bool)
             for start, end in runs:
                 keep[start:end] = False
@@ -187,6 +177,6 @@ def remove_later(documents: DataFrame, width: int = 50) -> DataFrame:
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                         ("kept_sha256", pa.string()), ("removed", pa.string())])
-    return by_document(texts, later_windows(texts, width), "left").mapInArrow(
+    return with_lists(texts, merged_runs(later_windows(texts, width), width), "left").mapInArrow(
         arrow_rows(work, schema),
         "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, removed string")

@@ -15,18 +15,20 @@ and what touches a bucket's ends is settled from one summary row per bucket. The
 doc_id and `at`, so a passage shared by a third of all documents spreads over buckets.
 
 A stretch alone under its key holds no repeat. Equal stretches repeat as a whole. Where unlike
-stretches share a key, their windows are sorted once more, one by one (`single_windows`).
+stretches share a key, they are cut into shorter stretches that are sorted again, down to single windows
+(`decided`). Only stretches where a match begins or ends get that far.
 """
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import attach, kept
+from crawlspark.llm.shared import arrow_rows, attach, kept
 
 STRETCH = "key bigint, full bigint, doc_id bigint, at bigint"
 STRETCH_SCHEMA = pa.schema([(name, pa.int64()) for name in ("key", "full", "doc_id", "at")])
@@ -136,7 +138,8 @@ def shared_stretches(stretches: DataFrame, partitions: int | None = None) -> Dat
     """
     spark = stretches.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = stretches.repartitionByRange(count, "key", "full", "doc_id", "at")
+    # Sampling for the splitters reads the rows once more: from a table, as hashing the texts takes longer.
+    dealt = kept(stretches).repartitionByRange(count, "key", "full", "doc_id", "at")
     rows = kept(dealt.mapInArrow(_sorted_bucket, _SORTED))
     when = lambda flag, name: F.when(F.col(flag), F.col(name))
     summaries = rows.groupBy("bucket").agg(
@@ -163,16 +166,29 @@ def shared_stretches(stretches: DataFrame, partitions: int | None = None) -> Dat
     ).where("same or unlike")
 
 
-def by_document(documents: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """`doc_id`, `text` and the list `ats` of each document's rows. A document's list is bounded by its own length."""
-    lists = kept(rows.groupBy("doc_id").agg(F.collect_list("at").alias("ats")))
-    return attach(documents.select("doc_id", "text"), lists, ["doc_id"], F.size("ats") * 8 + 64, how).select(
-        "doc_id", "text", "ats")
+def with_lists(documents: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """`doc_id`, `text`, `list` of documents and their lists of numbers, each bounded by its document's length."""
+    return attach(documents.select("doc_id", "text"), kept(lists), ["doc_id"], F.size("list") * 8 + 64, how).select(
+        "doc_id", "text", "list")
 
 
-def single_windows(documents: DataFrame, rows: DataFrame, work: Callable) -> DataFrame:
-    """The windows of the stretches in `rows`, each a stretch of its own; `work` hashes them from the texts."""
-    return by_document(documents, rows, "inner").mapInArrow(work, STRETCH)
+def decided(documents: DataFrame, level: Callable, cells: tuple[int, ...], goes: Column, compared: Column) -> DataFrame:
+    """`doc_id`, `at` of the stretches that repeat as `goes` asks, looked for level by level.
+
+    `level(cell)` gives a `mapInArrow` function that makes stretches of at most `cell`
+    windows, from whole texts first, then from texts with the list of open stretches.
+    `compared` picks, among equal stretches that unlike ones share a key with, those
+    that stand for all of them.
+    """
+    rows, found = documents.mapInArrow(level(cells[0]), STRETCH), []
+    for cell in (*cells[1:], None):
+        shared = shared_stretches(rows)
+        found.append(shared.where(goes).select("doc_id", "at"))
+        if cell is not None:
+            open_rows = shared.where("unlike").where(compared)
+            lists = open_rows.groupBy("doc_id").agg(F.collect_list("at").alias("list"))
+            rows = with_lists(documents, lists, "inner").mapInArrow(level(cell), STRETCH)
+    return reduce(DataFrame.union, found)
 
 
 def covered(ats: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -182,3 +198,15 @@ def covered(ats: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     ends = np.maximum.accumulate(starts + (ats & 0xFFFF) - 1 + width)
     cut = np.flatnonzero(starts[1:] > ends[:-1]) + 1
     return starts[np.r_[0, cut]], ends[np.r_[cut - 1, len(ends) - 1]]
+
+
+def merged_runs(rows: DataFrame, width: int) -> DataFrame:
+    """`doc_id` and `list`: starts and ends, in turn, of what the stretches of `rows` cover."""
+
+    def work(source):
+        for doc_id, ats in source:
+            yield doc_id, np.column_stack(covered(ats, width)).ravel().tolist()
+
+    lists = rows.groupBy("doc_id").agg(F.collect_list("at").alias("list"))
+    schema = pa.schema([("doc_id", pa.int64()), ("list", pa.list_(pa.int64()))])
+    return lists.mapInArrow(arrow_rows(work, schema, flush_rows=1000), "doc_id bigint, list array<bigint>")

@@ -6,8 +6,9 @@ anchors are sorted: of the `GRAM`-byte grams in a window, the leftmost with the
 fingerprint. Equal windows have equal anchors, and an anchor's windows lie together, so
 nothing is lost (see `repeats`). The anchor suffixes, led by their first bytes, are range-
 partitioned by sampled splitters, sorted in their bucket by multikey quicksort and compared
-with their neighbours, across bucket boundaries as well. Where suffixes agree over the
-core but not over the whole stretch, all window suffixes of the stretch are sorted likewise.
+with their neighbours, across bucket boundaries as well. Where suffixes agree over the core
+but not over the whole stretch, the stretch is cut and its parts are sorted likewise, down to
+the suffixes of single windows.
 
 Equality of strings is that of two 64-bit fingerprints of different families.
 
@@ -22,9 +23,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from crawlspark.llm.fingerprints import Sequence, byte_items, window_minima
-from crawlspark.llm.repeats import STRETCH, STRETCH_SCHEMA, by_document, covered, shared_stretches, single_windows
+from crawlspark.llm.repeats import STRETCH_SCHEMA, decided, merged_runs, with_lists
 from crawlspark.llm.shared import arrow_rows
 
 GRAM = 32
@@ -39,11 +41,13 @@ def _keys(codes: np.ndarray, starts: np.ndarray, hashed: np.ndarray) -> np.ndarr
     return ((lead << np.uint64(32)) | (hashed >> np.uint64(32))).view(np.int64) ^ np.int64(-1 << 63)
 
 
-def anchor_stretches(codes: np.ndarray, width: int):
-    """(key, full, first window, windows) arrays for the stretches of a piece of text."""
+def anchor_stretches(codes: np.ndarray, width: int, cell: int):
+    """(key, full, first window, windows) arrays for the stretches of a piece of text.
+
+    Windows of a stretch share an anchor and a range of `cell` distances to it.
+    """
     windows = len(codes) - width + 1
     grams = width - GRAM + 1
-    cell = -(-grams // 2)
     cores, contents = Sequence(byte_items(codes, 0), 0), Sequence(byte_items(codes, 1), 1)
     places = np.arange(len(codes) - GRAM + 1)
     # The place in the low bits makes the least value that of the leftmost least gram.
@@ -61,12 +65,6 @@ def anchor_stretches(codes: np.ndarray, width: int):
     return _keys(codes, start, core), full.view(np.int64), first, last - first + 1
 
 
-def _pieces(data: bytes, width: int):
-    codes = np.frombuffer(data, np.uint8)
-    for start in range(0, len(codes) - width + 1, PIECE):
-        yield start, codes[start:start + PIECE + width - 1]
-
-
 def _column_batch(key, full, doc_id, at) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(key), pa.array(full), pa.array(np.asarray(doc_id, np.int64)), pa.array(at)], schema=STRETCH_SCHEMA)
@@ -93,52 +91,33 @@ def document_rows(batches):
             yield from zip(*[column.slice(start, 256).to_pylist() for column in columns])
 
 
-def _stretches(width: int):
-    def work(batches):
-        def parts():
-            for doc_id, data in document_rows(batches):
-                if doc_id is None:
-                    continue
-                for start, codes in _pieces(data or b"", width):
-                    key, full, first, count = anchor_stretches(codes, width)
-                    yield key, full, doc_id, (first + start) << 16 | count
+def _level(width: int):
+    def stretches(cell: int):
+        def work(batches):
+            def parts():
+                for doc_id, data, *lists in document_rows(batches):
+                    if doc_id is None or not data:
+                        continue
+                    codes = np.frombuffer(data, np.uint8)
+                    if lists:
+                        pieces = ((at >> 16, (at >> 16) + (at & 0xFFFF)) for at in lists[0])
+                    else:
+                        pieces = ((start, start + PIECE) for start in range(0, len(codes) - width + 1, PIECE))
+                    for start, end in pieces:
+                        key, full, first, count = anchor_stretches(codes[start:end + width - 1], width, cell)
+                        yield key, full, doc_id, (first + start) << 16 | count
 
-        yield from gathered(parts())
+            yield from gathered(parts())
 
-    return work
+        return work
 
-
-def _windows(width: int):
-    def work(batches):
-        def parts():
-            for doc_id, data, ats in document_rows(batches):
-                codes, ats = np.frombuffer(data, np.uint8), np.sort(np.array(ats, np.int64))
-                done = 0
-                while done < len(ats):
-                    low = int(ats[done] >> 16)
-                    stop = int(np.searchsorted(ats, (low + PIECE) << 16))
-                    piece = codes[low:low + PIECE + width + 0xFFFF]
-                    first, count = (ats[done:stop] >> 16) - low, ats[done:stop] & 0xFFFF
-                    starts = np.repeat(first - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
-                    starts = np.unique(starts)
-                    key = _keys(piece, starts, Sequence(byte_items(piece, 0), 0).hashes(starts, starts + width))
-                    full = Sequence(byte_items(piece, 1), 1).hashes(starts, starts + width).view(np.int64)
-                    yield key, full, doc_id, (starts + low) << 16 | 1
-                    done = stop
-
-        yield from gathered(parts())
-
-    return work
+    return stretches
 
 
 def repeated_windows(documents: DataFrame, width: int = 400) -> DataFrame:
     """`doc_id`, `at` of stretches whose every window also starts elsewhere; `at` as in `repeats`."""
-    texts = documents.selectExpr("cast(doc_id as bigint) as doc_id", "text")
-    shared = shared_stretches(texts.mapInArrow(_stretches(width), STRETCH))
-    # One of equal stretches stands for all of them where unlike ones have to be compared.
-    open_rows = shared.where("unlike and first")
-    windows = shared_stretches(single_windows(texts, open_rows, _windows(width)))
-    return shared.where("same").select("doc_id", "at").union(windows.where("same").select("doc_id", "at"))
+    cells = (-(-(width - GRAM + 1) // 2), 24, 1)
+    return decided(documents, _level(width), cells, F.col("same"), F.col("first"))
 
 
 def remove_repeats(documents: DataFrame, width: int = 400) -> DataFrame:
@@ -149,22 +128,19 @@ def remove_repeats(documents: DataFrame, width: int = 400) -> DataFrame:
     texts = documents.selectExpr("cast(doc_id as bigint) as doc_id", "text")
 
     def work(rows):
-        for doc_id, data, ats in rows:
-            data = data or b""
-            if not ats:
-                yield doc_id, len(data), 0, 0, hashlib.sha256(data).hexdigest(), ""
-                continue
-            starts, ends = covered(ats, width)
+        for doc_id, data, cuts in rows:
+            data, cuts = data or b"", cuts or []
+            runs = list(zip(cuts[::2], cuts[1::2]))
             digest, place = hashlib.sha256(), 0
-            for start, end in zip(starts.tolist(), ends.tolist()):
+            for start, end in runs:
                 digest.update(memoryview(data)[place:start])
                 place = end
             digest.update(memoryview(data)[place:])
-            runs = ",".join(f"{start}:{end}" for start, end in zip(starts.tolist(), ends.tolist()))
-            yield doc_id, len(data), int((ends - starts).sum()), len(starts), digest.hexdigest(), runs
+            yield (doc_id, len(data), sum(end - start for start, end in runs), len(runs), digest.hexdigest(),
+                   ",".join(f"{start}:{end}" for start, end in runs))
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                         ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("removed", pa.string())])
-    return by_document(texts, repeated_windows(texts, width), "left").mapInArrow(
+    return with_lists(texts, merged_runs(repeated_windows(texts, width), width), "left").mapInArrow(
         arrow_rows(work, schema),
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, removed string")
