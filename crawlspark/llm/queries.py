@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlspark.llm import langid, mixing, pii, recompression, secrets, suffixes, warc
+from crawlspark.llm import decontam, langid, mixing, neardup, pii, recompression, secrets, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_warc_chunks(spark, sf_dir):
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op5_spaced_seeds(spark, sf_dir):
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_fair_queue_mix(spark, sf_dir):
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op7_secret_scan(spark, sf_dir):
     return secrets.find_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op8_multi_index_hamming(spark, sf_dir):
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
+
+
 def op9_suffix_dedup(spark, sf_dir):
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -38,7 +46,7 @@ def op10_recompression_dedup(spark, sf_dir):
 
 
 QUERIES = {query.__name__: query for query in (
-    op1_language_id, op2_personal_data, op3_warc_chunks, op6_fair_queue_mix, op7_secret_scan,
-    op9_suffix_dedup, op10_recompression_dedup)}
+    op1_language_id, op2_personal_data, op3_warc_chunks, op5_spaced_seeds, op6_fair_queue_mix,
+    op7_secret_scan, op8_multi_index_hamming, op9_suffix_dedup, op10_recompression_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
