@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlspark.llm import langid, mixing, pii
+from crawlspark.llm import decontam, langid, mixing, neardup, pii
 from crawlspark.llm.shared import scratch_folder
 
 
@@ -14,6 +14,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near duplicates: five-word shingles, similarity 0.8."""
+    return neardup.keep_one_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap no item of `benchmark`."""
+    return decontam.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents with personal data masked in their texts."""
     return pii.mask_personal_data(docs)
@@ -26,6 +36,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("personal_data", personal_data),
     ("mixture", mixture),
 ]

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlspark.llm import decontam, langid, mixing, neardup, pii, recompression, secrets, suffixes, warc
+from crawlspark.llm import covertree, decontam, langid, mixing, neardup, pii, recompression, secrets, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_warc_chunks(spark, sf_dir):
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op4_cover_tree(spark, sf_dir):
+    return covertree.linked_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_spaced_seeds(spark, sf_dir):
     return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -46,7 +50,7 @@ def op10_recompression_dedup(spark, sf_dir):
 
 
 QUERIES = {query.__name__: query for query in (
-    op1_language_id, op2_personal_data, op3_warc_chunks, op5_spaced_seeds, op6_fair_queue_mix,
-    op7_secret_scan, op8_multi_index_hamming, op9_suffix_dedup, op10_recompression_dedup)}
+    op1_language_id, op2_personal_data, op3_warc_chunks, op4_cover_tree, op5_spaced_seeds,
+    op6_fair_queue_mix, op7_secret_scan, op8_multi_index_hamming, op9_suffix_dedup, op10_recompression_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
