@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlqueries import views as V
+from crawlspark.fixed_values import MAX_INLINKS
 from crawlspark.functions import filters, state, times
 from crawlspark.functions.entities import decode_all_entities
 from crawlspark.functions.identity import body_text, document_id
@@ -62,15 +63,16 @@ def cdr_ids(spark, sf):
 
 
 def cdr_dump_linked(spark, sf):
-    return show_dump(dumps.linked_dump(V.content(spark, sf), V.links(spark, sf), V.LABELS))
+    return show_dump(dumps.linked_dump(V.content(spark, sf), V.links(spark, sf), V.LABELS, max_inlinks=MAX_INLINKS))
 
 
 def cdr_dump_linked_left(spark, sf):
-    return show_dump(dumps.linked_dump(V.content(spark, sf), V.links(spark, sf), V.LABELS, how="left"))
+    return show_dump(dumps.linked_dump(V.content(spark, sf), V.links(spark, sf), V.LABELS, how="left", max_inlinks=MAX_INLINKS))
 
 
 def cdr_dump_expanded(spark, sf):
-    return show_dump(dumps.linked_dump(V.content(spark, sf), V.links(spark, sf), V.LABELS, how="left", expanded=True))
+    return show_dump(dumps.linked_dump(V.content(spark, sf), V.links(spark, sf), V.LABELS, how="left", expanded=True,
+                                        max_inlinks=MAX_INLINKS))
 
 
 def cdr_dump_state_time(spark, sf):
@@ -103,12 +105,12 @@ def show_index(index: DataFrame) -> DataFrame:
 
 def index_dump(spark, sf):
     return show_index(dumps.index_dump(V.content(spark, sf), V.state(spark, sf), V.links(spark, sf), V.CRAWL_ID,
-                                       V.LABELS.crawler))
+                                       V.LABELS.crawler, max_inlinks=MAX_INLINKS))
 
 
 def index_dump_left(spark, sf):
     return show_index(dumps.index_dump(V.content(spark, sf), V.state(spark, sf), V.links(spark, sf), V.CRAWL_ID,
-                                       V.LABELS.crawler, how="left"))
+                                       V.LABELS.crawler, how="left", max_inlinks=MAX_INLINKS))
 
 
 def status_and_retry(spark, sf):
@@ -137,7 +139,7 @@ def image_ids(spark, sf):
 
 def image_relink(spark, sf):
     pages = V.content(spark, sf)
-    dump = dumps.linked_dump(pages, V.links(spark, sf), V.LABELS, how="left")
+    dump = dumps.linked_dump(pages, V.links(spark, sf), V.LABELS, how="left", max_inlinks=MAX_INLINKS)
     relinked = records.relink_images(dump, records.latest_times(pages))
     return relinked.select("_id", "url", "obj_parent", F.array_join("crawl_data.inlinks", " ").alias("inlinks"))
 
@@ -153,6 +155,11 @@ def dedup_apply(spark, sf):
     return dedup.apply_dedup_index(dump, dedup.dedup_index(dump)).select("path", "_id", "url", "raw_content")
 
 
+def dedup_apply_exact(spark, sf):
+    dump = V.dump_with_nulls(spark, sf)
+    return dedup.apply_dedup_index(dump, dedup.dedup_index(dump), exact=True).select("path", "_id", "url", "raw_content")
+
+
 def segment_union(spark, sf):
     return union_all([V.content(spark, sf), V.recrawled_content(spark, sf)]).groupBy("segment").agg(
         F.count("*").alias("n_rows"), F.sum(F.octet_length("content")).alias("n_bytes"))
@@ -204,11 +211,17 @@ def link_graph(spark, sf):
 
 
 def inlink_sets(spark, sf):
-    return link_ops.inlink_sets(V.links(spark, sf)).select("url", "parent", listed("inlinks"))
+    return link_ops.inlink_sets(V.links(spark, sf), MAX_INLINKS).select("url", "parent", listed("inlinks"), "n_inlinks")
 
 
 def inlink_sets_limited(spark, sf):
-    return link_ops.inlink_sets(V.links(spark, sf), max_inlinks=4).select("url", "parent", listed("inlinks"))
+    return link_ops.inlink_sets(V.links(spark, sf), max_inlinks=4).select(
+        "url", "parent", listed("inlinks"), "n_inlinks")
+
+
+def inlink_chunks(spark, sf):
+    chunks = link_ops.inlink_chunks(V.links(spark, sf), chunk_size=10)
+    return chunks.select("url", "n_inlinks", F.explode("inlinks").alias("from_url"))
 
 
 def page_metadata(spark, sf):
@@ -276,6 +289,21 @@ def top_domains(spark, sf):
         "host", "url", rounded("score"))
 
 
+def top_domain_urls(spark, sf):
+    scores = relevance_plans.top_domains(V.recrawled_content(spark, sf), V.knowledge_base(spark, sf))
+    return relevance.top(scores, "url").select("host", "url", rounded("score"))
+
+
+def bottom_domain_urls(spark, sf):
+    scores = relevance_plans.top_domains(V.recrawled_content(spark, sf), V.knowledge_base(spark, sf))
+    return relevance.bottom(scores, "url").select("host", "url", rounded("score"))
+
+
+def ranked_urls(spark, sf):
+    scores = relevance_plans.url_similarity(V.recrawled_content(spark, sf), V.knowledge_base(spark, sf))
+    return relevance.ranked(scores, "url").select("url", rounded("score"))
+
+
 def top_urls(spark, sf):
     scores = relevance_plans.url_similarity(V.recrawled_content(spark, sf), V.knowledge_base(spark, sf))
     return relevance.top(scores, "url").select("url", rounded("score"))
@@ -291,10 +319,11 @@ QUERIES = {query.__name__: query for query in (
     cdr_ids, cdr_dump_linked, cdr_dump_linked_left, cdr_dump_expanded, cdr_dump_state_time, cdr_dump_unlinked,
     cdr_minimal, index_dump, index_dump_left, status_and_retry, fetch_time_text,
     image_paths, image_ids, image_relink,
-    dedup_index, dedup_apply, segment_union, segment_merge, dedup_url_text,
+    dedup_index, dedup_apply, dedup_apply_exact, segment_union, segment_merge, dedup_url_text,
     url_list, plain_text, plain_text_all_entities, text_mime_filter, page_filter, parse_gate,
-    page_outlinks, link_graph, inlink_sets, inlink_sets_limited,
+    page_outlinks, link_graph, inlink_sets, inlink_sets_limited, inlink_chunks,
     page_metadata, typed_metadata, field_catalogue,
     kb_term_freq, kb_idf, kb_profile, kb_magnitude, doc_term_freq,
     page_relevance, doc_similarity, host_similarity, hashed_similarity, top_domains, top_urls, bottom_urls,
+    top_domain_urls, bottom_domain_urls, ranked_urls,
 )}

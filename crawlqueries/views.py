@@ -18,6 +18,7 @@ from crawlspark.sources.readers import union_all
 
 LABELS = RunLabels(doc_type="webpage", crawler="crawler 1.0", team="team")
 CRAWL_ID = "crawl-1"
+OPENINGS = ("<!-- note -->", "\ufeff", "<section>", "word ", "<ul><li>one</li></ul>")
 START = 1_472_580_000  # seconds: 30 Aug 2016 18:00:00 GMT
 
 
@@ -27,6 +28,7 @@ SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "benchmark": "item_id bigint, text string",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
     "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -124,6 +126,20 @@ def _accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that open with something other than a doctype."""
+    opening = F.element_at(F.array(*map(F.lit, OPENINGS)), F.col("n_regionkey").cast("int") % len(OPENINGS) + 1)
+    return table(spark, sf_dir, "nation").select(
+        F.lit("shop").alias("segment"),
+        _shop_url("nation", F.col("n_nationkey")).alias("url"),
+        F.lit("text/html").alias("content_type"),
+        F.concat(opening, F.lit("<title>"), F.col("n_name"), F.lit('</title><p>caf&eacute; &#8217;&#x2014; in region '),
+                 F.col("n_regionkey").cast("string"), F.lit('</p><a href="/region/'),
+                 F.col("n_regionkey").cast("string"), F.lit('">region</a>')).alias("content"),
+        F.lit(None).cast("string").alias("http_date"),
+    )
+
+
 def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.lit("shop").alias("segment"),
@@ -136,7 +152,7 @@ def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """segment, url, content_type, content, http_date."""
-    parts = (_web, _files, _images, _orders, _accounts, _suppliers)
+    parts = (_web, _files, _images, _orders, _accounts, _suppliers, _nations)
     return union_all([part(spark, sf_dir) for part in parts])
 
 
@@ -216,3 +232,14 @@ def dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     path_of = F.create_map(*[F.lit(part) for pair in DUMP_PARTS.items() for part in pair])
     pages = recrawled_content(spark, sf_dir).withColumn("path", F.try_element_at(path_of, F.col("segment")))
     return dump_records(pages, LABELS, carry=["path"])
+
+
+def dump_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dump, and documents without body or URL, each line twice."""
+    nations = table(spark, sf_dir, "nation")
+    bare = nations.select(
+        F.lit("file:///dump/part-00004").alias("path"), F.col("n_name").alias("_id"),
+        F.when(F.col("n_regionkey") > 0, _shop_url("nation", F.col("n_nationkey"))).alias("url"),
+        F.when(F.col("n_regionkey") == 1, F.col("n_name")).alias("raw_content"))
+    lines = dump(spark, sf_dir).select("path", "_id", "url", "raw_content").union(bare)
+    return lines.union(lines)

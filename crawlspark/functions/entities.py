@@ -1,22 +1,36 @@
-"""Decoding of every HTML entity, for callers who need more than the common named ones.
+"""Decoding of every HTML entity, for callers who need more than the common named ones."""
 
-The only Python in the library's expressions: an Arrow-batched pandas UDF that
-sees just the texts that contain an entity.
-"""
+from html.entities import name2codepoint
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+
+ENTITY = r"(?s)^&(?:#([0-9]{1,7})|#[xX]([0-9A-Fa-f]{1,6})|([A-Za-z][A-Za-z0-9]*));(.*)$"
+LARGEST = 0x10FFFF
 
 
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+def _character(code: Column) -> Column:
+    """The character of a code point; other numbers give the replacement character."""
+    valid = (code > 0) & (code <= LARGEST) & ~code.between(0xD800, 0xDFFF)
+    packed = F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(0xFFFD)), 8, "0"))
+    return F.decode(packed, "UTF-32")
 
 
 def decode_all_entities(text: Column) -> Column:
-    """All named and numeric entities; pass it as `decode` to the text functions."""
-    unescape = F.pandas_udf(_unescape, StringType())
-    return F.coalesce(unescape(F.when(text.rlike(r"&[#A-Za-z]"), text)), text)
+    """All named (HTML 4) and numeric entities; pass it as `decode` to the text functions.
+
+    The text is cut where an entity starts, so each piece opens with at most one.
+    Unknown names stay as they are.
+    """
+    names = F.create_map(*[F.lit(item) for name, code in sorted(name2codepoint.items()) for item in (name, chr(code))])
+
+    def decoded(piece: Column) -> Column:
+        decimal, hexadecimal, name, rest = (F.regexp_extract(piece, ENTITY, group) for group in (1, 2, 3, 4))
+        known = F.try_element_at(names, name)
+        return (F.when(decimal != "", F.concat(_character(decimal.cast("bigint")), rest))
+                .when(hexadecimal != "", F.concat(_character(F.conv(hexadecimal, 16, 10).cast("bigint")), rest))
+                .when((name != "") & known.isNotNull(), F.concat(known, rest))
+                .otherwise(piece))
+
+    pieces = F.split(text, r"(?=&#?[A-Za-z0-9]{1,32};)")
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, decoded), "")).otherwise(text)

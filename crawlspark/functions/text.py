@@ -15,16 +15,18 @@ ENTITIES = {
     "&hellip;": "…", "&euro;": "€", "&amp;": "&",
 }
 
-MARKUP_START = r"(?is)^\s*<(?:!doctype|!--|\?xml|html|head|title|body|meta|link|script|style|h1|p|div|table|a)\b"
-COMMENT = r"(?s)<!--.*?-->"
+MARKUP_START = (r"(?is)^[\s\x{FEFF}]*<(?:!--|(?:!doctype|\?xml|html|head|title|body|meta|link|script|style|h[1-6]|p|div|span|"
+                r"section|article|main|nav|header|footer|ul|ol|table|form|a)\b)")
+# An unclosed comment or script runs to the end of the page, so no pattern tries again from every later tag.
+COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 HEAD = r"(?is)<head\b[^>]*>.*?</head\s*>"
-CODE_BLOCK = r"(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>"
+CODE_BLOCK = r"(?is)<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\z)"
 TAG = r"(?s)<[^>]+>"
 BLANKS = r"[ \t\r\n]+"
-LINK = (r"(?is)<(?:a|area|link|img|frame|iframe|script)\s(?:[^>]*?\s)?(?:href|src)\s*=\s*"
+LINK = (r"(?is)<(?:a|area|link|img|frame|iframe|script)\s(?:[^<>]*?\s)?(?:href|src)\s*=\s*"
         r"(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
-BASE_LINK = r"(?is)<base\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
-SCRIPT_BODY = r"(?is)(<script\b[^>]*>).*?</script\s*>"
+BASE_LINK = r"(?is)<base\s(?:[^<>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+SCRIPT_BODY = r"(?is)(<script\b[^>]*>).*?(?:</script\s*>|\z)"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 # Fixed value: white space other than the space and the newline.
 OTHER_BLANKS = r"\t\x0B\f\r\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
@@ -40,9 +42,12 @@ def decode_entities(text: Column) -> Column:
     return text
 
 
-def is_markup(body: Column) -> Column:
-    """True where the body opens like an HTML or XML document."""
-    return body.rlike(MARKUP_START)
+def is_markup(body: Column, content_type: Column | None = None) -> Column:
+    """Whether a body is HTML or XML: by its type; only where that is missing, by how the body opens."""
+    opens = F.coalesce(body.rlike(MARKUP_START), F.lit(False))
+    if content_type is None:
+        return opens
+    return F.when(F.coalesce(content_type, F.lit("")) == "", opens).otherwise(F.lower(content_type).rlike("html|xml"))
 
 
 def markup_to_text(markup: Column, decode: Callable[[Column], Column] = decode_entities) -> Column:
@@ -53,22 +58,23 @@ def markup_to_text(markup: Column, decode: Callable[[Column], Column] = decode_e
     return decode(F.trim(text))
 
 
-def extract_text(body: Column, decode: Callable[[Column], Column] = decode_entities) -> Column:
+def extract_text(body: Column, decode: Callable[[Column], Column] = decode_entities,
+                 content_type: Column | None = None) -> Column:
     """Text of a page body: markup is stripped, plain text stays as it is, null becomes empty."""
-    return F.coalesce(F.when(is_markup(body), markup_to_text(body, decode)).otherwise(body), F.lit(""))
+    return F.coalesce(F.when(is_markup(body, content_type), markup_to_text(body, decode)).otherwise(body), F.lit(""))
 
 
 def gated_text(content_type: Column, body: Column,
                decode: Callable[[Column], Column] = decode_entities) -> Column:
     """`extract_text` for parsable types, empty for every other type."""
-    return F.when(is_parsable(content_type), extract_text(body, decode)).otherwise(F.lit(""))
+    return F.when(is_parsable(content_type), extract_text(body, decode, content_type)).otherwise(F.lit(""))
 
 
 def _unquote(value: Column) -> Column:
     return F.trim(F.regexp_replace(value, r"^[\"']|[\"']$", ""))
 
 
-def metadata_pairs(body: Column) -> Column:
+def metadata_pairs(body: Column, content_type: Column | None = None) -> Column:
     """Name/value pairs of a page head, in document order per kind: title, named metas, charset."""
     titles = F.transform(
         F.regexp_extract_all(body, F.lit(TITLE), F.lit(1)),
@@ -84,12 +90,12 @@ def metadata_pairs(body: Column) -> Column:
         _unquote(F.regexp_extract(tag, META_CHARSET, 1)).alias("value")))
     pairs = F.concat(titles, F.filter(named, lambda pair: pair["name"] != ""),
                      F.filter(charset, lambda pair: pair["value"] != ""))
-    return F.when(is_markup(body), pairs)
+    return F.when(is_markup(body, content_type), pairs)
 
 
-def metadata_map(body: Column) -> Column:
+def metadata_map(body: Column, content_type: Column | None = None) -> Column:
     """Metadata name to all its values; an empty map where there are none."""
-    pairs = F.coalesce(metadata_pairs(body), F.array().cast("array<struct<name:string,value:string>>"))
+    pairs = F.coalesce(metadata_pairs(body, content_type), F.array().cast("array<struct<name:string,value:string>>"))
 
     def by_name(entries: Column) -> Column:
         names = F.array_distinct(F.transform(entries, lambda pair: pair["name"]))

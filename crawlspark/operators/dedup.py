@@ -7,10 +7,15 @@ from crawlspark.functions.identity import plain_path, sha_hex
 from crawlspark.operators.joins import skew_safe_join
 
 
+def _content_hash(column: str) -> Column:
+    """Hash of a column; a null has the empty text for a hash, so that it matches other nulls."""
+    return F.coalesce(sha_hex(F.col(column)), F.lit(""))
+
+
 def _content_keys(dump: DataFrame) -> DataFrame:
     return dump.withColumns({
-        "url_hash": sha_hex(F.col("url")),
-        "content_hash": sha_hex(F.col("raw_content")),
+        "url_hash": _content_hash("url"),
+        "content_hash": _content_hash("raw_content"),
         "path": plain_path(F.col("path")),
     })
 
@@ -34,7 +39,7 @@ def apply_dedup_index(dump: DataFrame, index: DataFrame, exact: bool = False) ->
     """Documents of `dump` listed in the index.
 
     Documents match on path and id, so equal lines within one file all survive;
-    `exact` also compares the content keys and keeps one of such lines.
+    `exact` also compares the content keys, null with null, and keeps one of such lines.
     """
     columns = dump.columns
     if not exact:
@@ -46,10 +51,15 @@ def apply_dedup_index(dump: DataFrame, index: DataFrame, exact: bool = False) ->
                         "url_hash", "content_hash").distinct()
     keyed = dump.withColumns({
         "match_path": plain_path(F.col("path")),
-        "url_hash": sha_hex(F.col("url")),
-        "content_hash": sha_hex(F.col("raw_content")),
+        "url_hash": _content_hash("url"),
+        "content_hash": _content_hash("raw_content"),
+        "row_hash": F.xxhash64(F.to_json(F.struct(*columns))),
     })
-    return skew_safe_join(keyed, kept, keys, "left_semi").dropDuplicates(keys).select(*columns)
+    # Lines with equal keys may differ in other fields: the smallest row hash stays, chosen on hashes alone.
+    first = keyed.groupBy(*keys).agg(F.min("row_hash").alias("row_hash"))
+    first = skew_safe_join(first, kept, keys, "left_semi")
+    keys = [*keys, "row_hash"]
+    return skew_safe_join(keyed, first, keys, "left_semi").dropDuplicates(keys).select(*columns)
 
 
 def merge_segments(content: DataFrame, time: Column) -> DataFrame:

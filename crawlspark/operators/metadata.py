@@ -13,7 +13,7 @@ def page_metadata(content: DataFrame) -> DataFrame:
     """One row per metadata name of a text page: `url`, `name`, `values`."""
     return (
         content.where(is_text_type(F.col("content_type")))
-        .select("url", F.explode(metadata_map(body_text(F.col("content")))).alias("name", "values"))
+        .select("url", F.explode(metadata_map(body_text(F.col("content")), F.col("content_type"))).alias("name", "values"))
     )
 
 
@@ -43,7 +43,7 @@ def distinct_fields(fields: Column) -> Column:
 
 def typed_metadata(content: DataFrame) -> DataFrame:
     """One row per dynamic field of a text page: `url`, `name`, `field`, `kind`, `is_multiple`, `values`."""
-    metadata = metadata_map(body_text(F.col("content")))
+    metadata = metadata_map(body_text(F.col("content")), F.col("content_type"))
     return (
         content.where(is_text_type(F.col("content_type")))
         .select("url", metadata.alias("metadata"))
@@ -54,7 +54,7 @@ def typed_metadata(content: DataFrame) -> DataFrame:
 
 def field_catalogue(content: DataFrame) -> DataFrame:
     """Every dynamic field with its kind, page count, and the original names behind it."""
-    metadata = metadata_map(body_text(F.col("content")))
+    metadata = metadata_map(body_text(F.col("content")), F.col("content_type"))
     fields = (
         content.where(is_text_type(F.col("content_type")))
         .select("url", metadata.alias("metadata"))

@@ -55,7 +55,7 @@ def dump_records(content: DataFrame, labels: RunLabels, expanded: bool = False,
         content_type,
         body.alias("raw_content"),
         gated_text(content_type, body).alias("extracted_text"),
-        F.when(is_parsable(content_type), metadata_map(body)).otherwise(no_metadata).alias("extracted_metadata"),
+        F.when(is_parsable(content_type), metadata_map(body, content_type)).otherwise(no_metadata).alias("extracted_metadata"),
         F.lit(labels.crawler).alias("crawler"),
         url.alias("obj_original_url"),
         stored_path(url).alias("obj_stored_url"),
@@ -70,6 +70,8 @@ def dump_records(content: DataFrame, labels: RunLabels, expanded: bool = False,
         F.when(linked, parent).alias("obj_parent"),
         F.when(linked & inlinks.isNotNull(), F.struct(inlinks.alias("inlinks"))).alias("crawl_data"),
     ]
+    if "n_inlinks" in content.columns:
+        columns.append(F.coalesce("n_inlinks", F.lit(0)).alias("n_inlinks"))
     return content.select(*columns, *carry)
 
 
@@ -100,7 +102,7 @@ def index_records(content: DataFrame, crawl_id: str, crawler: str, indexed_at: C
         indexed_at = F.unix_millis(F.current_timestamp())
     # Pages that are not text have no body to parse, so none of the patterns run on them.
     parsed = with_outlinks(content.withColumn("body", F.when(is_text, body)))
-    prepared = parsed.withColumn("metadata_fields", all_fields(metadata_map(F.col("body")))).withColumn(
+    prepared = parsed.withColumn("metadata_fields", all_fields(metadata_map(F.col("body"), content_type))).withColumn(
         "metadata_fields", distinct_fields(F.col("metadata_fields")))
     return prepared.select(
         index_id(url, F.lit(crawl_id), F.col("fetch_time")).alias("id"),
@@ -110,7 +112,7 @@ def index_records(content: DataFrame, crawl_id: str, crawler: str, indexed_at: C
         url,
         index_time(F.col("fetch_time")).alias("fetch_timestamp"),
         F.col("body").alias("raw_content"),
-        F.when(is_text, extract_text(F.col("body"))).alias("extracted_text"),
+        F.when(is_text, extract_text(F.col("body"), content_type=content_type)).alias("extracted_text"),
         F.when(is_text, F.col("outlinks")).alias("outlinks"),
         status_name(F.col("status")).alias("status_name"),
         status_code(F.col("metadata")).alias("status_code"),
@@ -125,6 +127,7 @@ def index_records(content: DataFrame, crawl_id: str, crawler: str, indexed_at: C
         F.lit(INDEX_RECORD_VERSION).alias("version"),
         _column_or_null(content, "parent", "string").alias("obj_parent"),
         _column_or_null(content, "inlinks", "array<string>").alias("inlinks"),
+        F.coalesce(_column_or_null(content, "n_inlinks", "bigint"), F.lit(0)).cast("bigint").alias("n_inlinks"),
         stored_path(url).alias("obj_relative_path"),
         index_time(indexed_at).alias("indexed_at"),
         *[column.alias(name) for name, column in field_maps(F.when(is_text, F.col("metadata_fields"))).items()],

@@ -13,13 +13,18 @@ from pyspark.sql import functions as F
 
 from crawlspark.functions.filters import is_parsable, is_text_type
 from crawlspark.functions.identity import body_text
-from crawlspark.functions.text import extract_text, tokens
+from crawlspark.functions.text import is_markup, markup_to_text, tokens
 from crawlspark.functions.urls import host
 from crawlspark.operators.joins import lookup_join, settled, skew_safe_join
 
 SCORE_DIGITS = 10
 
 
+def term_bucket(term: Column, num_features: int) -> Column:
+    """Bucket of a term: the first 60 bits of its SHA-256 modulo the number of buckets."""
+    return F.pmod(F.conv(F.substring(F.sha2(term, 256), 1, 15), 16, 10).cast("bigint"), F.lit(num_features))
+
+
 def term_counts(texts: DataFrame, *keys: str, lower: bool = False, num_features: int | None = None) -> DataFrame:
     """`term`, `tf` per key of a table with a `text` column.
 
@@ -29,7 +34,7 @@ def term_counts(texts: DataFrame, *keys: str, lower: bool = False, num_features:
     text = F.lower(F.col("text")) if lower else F.col("text")
     term = F.col("term")
     if num_features is not None:
-        term = F.when(term.isNotNull(), F.pmod(F.hash(term), F.lit(num_features)))
+        term = F.when(term.isNotNull(), term_bucket(term, num_features))
     return (
         texts.select(*keys, F.explode_outer(tokens(text)).alias("term"))
         .select(*keys, term.alias("term"))
@@ -152,13 +157,17 @@ def page_relevance(content: DataFrame, kb: DataFrame, stop_words: DataFrame) ->
     partitioning, and the scores are joined back to the rows.
     """
     profile = settled(kb_profile(kb, stop_words).select("term", "weight"))
-    body = F.when(is_parsable(F.col("content_type")), body_text(F.col("content"))).otherwise("")
-    pages = content.where(is_text_type(F.col("content_type"))).select(
-        "url", F.coalesce(body, F.lit("")).alias("body"))
+    kind = F.col("content_type")
+    body = F.when(is_parsable(kind), body_text(F.col("content"))).otherwise("")
+    pages = content.where(is_text_type(kind)).select("url", kind, F.coalesce(body, F.lit("")).alias("body"))
+    pages = pages.withColumn("marked", is_markup(F.col("body"), kind))
     # Never null, so the join below adds no null check that would hash every body again.
-    keyed = pages.withColumn("body_key", F.coalesce(F.sha2("body", 256), F.lit("")))
-    texts = keyed.select("body_key", extract_text(F.col("body")).alias("text")).groupBy("body_key").agg(
-        F.first("text").alias("text"))
+    keyed = pages.withColumn("body_key", F.coalesce(
+        F.concat(F.sha2("body", 256), F.col("marked").cast("string")), F.lit("")))
+    # Copies are told apart by hash first; text is taken from one of each.
+    bodies = keyed.groupBy("body_key").agg(F.first("body").alias("body"), F.first("marked").alias("marked"))
+    texts = bodies.select("body_key", F.when(F.col("marked"), markup_to_text(F.col("body"))).otherwise(
+        F.col("body")).alias("text"))
     scores = score_texts(texts, "body_key", profile, lower=True,
                          magnitude=profile_magnitude(profile).scalar())
     rows = keyed.select("url", "body_key")

@@ -5,18 +5,18 @@ from pyspark.sql import functions as F
 
 from crawlspark.operators.dedup import apply_dedup_index, dedup_index
 from crawlspark.operators.records import RunLabels, image_ids, image_paths, latest_times, relink_images
-from crawlspark.operators.relevance import page_relevance
+from crawlspark.operators.relevance import page_relevance, ranked
 from crawlspark.operators.stats import crawl_totals, host_counts, ordered_hosts
 from crawlspark.plans import dumps, relevance
 from crawlspark.sources import readers, writers
 
 
-def dump_linked(spark: SparkSession, *, link_db: str, output_dir: str, labels: RunLabels,
+def dump_linked(spark: SparkSession, *, link_db: str, output_dir: str, labels: RunLabels, max_inlinks: int,
                 segment_dir: str | None = None, segment_file: str | None = None, how: str = "inner",
                 expanded: bool = False) -> None:
     content = readers.read_content(spark, segment_dir, segment_file)
     links = readers.read_links(spark, link_db)
-    writers.write_json(dumps.linked_dump(content, links, labels, how, expanded), output_dir)
+    writers.write_json(dumps.linked_dump(content, links, labels, how, expanded, max_inlinks=max_inlinks), output_dir)
 
 
 def dump_unlinked(spark: SparkSession, *, link_db: str, output_dir: str, labels: RunLabels,
@@ -27,11 +27,11 @@ def dump_unlinked(spark: SparkSession, *, link_db: str, output_dir: str, labels:
 
 
 def dump_index(spark: SparkSession, *, link_db: str, crawl_db: str, crawl_id: str, output_dir: str,
-               crawler: str = "", segment_dir: str | None = None, segment_file: str | None = None) -> None:
+               max_inlinks: int, crawler: str = "", segment_dir: str | None = None, segment_file: str | None = None) -> None:
     content = readers.read_content(spark, segment_dir, segment_file)
     state = readers.read_state(spark, crawl_db)
     links = readers.read_links(spark, link_db)
-    writers.write_index(dumps.index_dump(content, state, links, crawl_id, crawler), output_dir)
+    writers.write_index(dumps.index_dump(content, state, links, crawl_id, crawler, max_inlinks=max_inlinks), output_dir)
 
 
 def build_dedup_index(spark: SparkSession, *, output_dir: str, dump_dir: str | None = None,
@@ -92,4 +92,5 @@ def rank_top_domains(spark: SparkSession, *, knowledge_base: str, output_dir: st
                      segment_dir: str | None = None, segment_file: str | None = None) -> None:
     content = readers.read_content(spark, segment_dir, segment_file)
     kb = readers.read_knowledge_base(spark, knowledge_base)
-    writers.write_csv(relevance.top_domains(content, kb).select("host", "url", F.col("score")), output_dir)
+    scores = ranked(relevance.top_domains(content, kb), "url")
+    writers.write_csv(scores.select("host", "url", F.col("score")), output_dir)

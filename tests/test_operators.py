@@ -42,7 +42,7 @@ def test_inlink_limit(spark):
     extra = [("http://t/many", "http://f/00000")] * 10 + [("http://t/self", "http://t/self"), ("http://t/c", "a,b"),
                                                          (None, "x"), ("x", None)]
     edges = spark.createDataFrame(few + many + extra, "to_url string, from_url string")
-    rows = {row.url: row for row in links.inlink_sets(edges, slices=7).collect()}
+    rows = {row.url: row for row in links.inlink_sets(edges, 5000, slices=7).collect()}
     assert set(rows) == {"http://t/few", "http://t/many", "http://t/self", "http://t/c"}
     assert [len(rows[f"http://t/{name}"].inlinks) for name in ("few", "many", "self")] == [5001, 5001, 1]
     assert rows["http://t/many"].inlinks == [source for _, source in many[:5001]]
@@ -53,13 +53,13 @@ def test_inlink_limit(spark):
 def test_linked_and_unlinked_split_the_urls(spark, content):
     edges = spark.createDataFrame([("http://h/i.png", "http://h/a"), ("http://h/a", "http://h/b"),
                                    ("http://h/a", "http://h/b")], "to_url string, from_url string")
-    linked = dumps.linked_dump(content, edges, LABELS).collect()
+    linked = dumps.linked_dump(content, edges, LABELS, max_inlinks=5000).collect()
     assert Counter(row.url for row in linked) == {"http://h/a": 2, "http://h/i.png": 1}
     image = next(row for row in linked if row.url.endswith("png"))
     assert image.obj_parent == "http://h/a" and image.crawl_data.inlinks == ["http://h/a"]
     assert all(row.crawl_data is None and row.obj_parent is None for row in linked if row is not image)
     assert image._id == sha("http://h/i.png-1472580000000") and image.extracted_metadata == {}
-    left = dumps.linked_dump(content, edges, LABELS, how="left", expanded=True).collect()
+    left = dumps.linked_dump(content, edges, LABELS, how="left", expanded=True, max_inlinks=5000).collect()
     assert Counter(row.url for row in left) == {"http://h/a": 2, "http://h/i.png": 1, "http://h/p": 1}
     assert {row.host for row in left} == {"h"}
     assert sum(row.crawl_data is not None for row in left) == 3
@@ -135,7 +135,7 @@ def test_index_records_as_flat_json(spark, content):
         "url string, status string, fetch_time bigint, score double, fetch_interval int, retries int, "
         "metadata map<string,string>")
     edges = spark.createDataFrame([("http://h/i.png", "http://h/a")], "to_url string, from_url string")
-    index = dumps.index_dump(pages, state, edges, "run", "c", indexed_at=F.lit(0).cast("bigint"))
+    index = dumps.index_dump(pages, state, edges, "run", "c", indexed_at=F.lit(0).cast("bigint"), max_inlinks=5000)
     docs = {doc["url"]: doc for doc in (json.loads(row.line) for row in index.select(
         index_json(index).alias("line")).collect())}
     assert set(docs) == {"http://h/x", "http://h/i.png"}
@@ -147,7 +147,7 @@ def test_index_records_as_flat_json(spark, content):
     image = docs["http://h/i.png"]
     assert image["inlinks"] == ["http://h/a"] and "raw_content" not in image and "outlinks" not in image
     assert "status_name" not in image and image["signature"] == sha("bytes")
-    left = dumps.index_dump(pages, state.where("url = 'http://h/x'"), edges, "run", "c", how="left")
+    left = dumps.index_dump(pages, state.where("url = 'http://h/x'"), edges, "run", "c", how="left", max_inlinks=5000)
     kept = {row.url: row for row in left.collect()}
     assert set(kept) == {"http://h/x", "http://h/a", "http://h/i.png", "http://h/p"}
     assert kept["http://h/i.png"].id == sha("http://h/i.png-run-null")
@@ -175,7 +175,7 @@ def test_hot_groups_stay_whole(spark):
         F.lit(None).cast("string").alias("http_date"))
     edges = spark.range(n).select(F.when(hot, "http://hot/x").otherwise(url).alias("to_url"),
                                   F.concat(F.lit("http://f/"), F.lpad(i.cast("string"), 5, "0")).alias("from_url"))
-    linked = dumps.linked_dump(pages, edges, LABELS)
+    linked = dumps.linked_dump(pages, edges, LABELS, max_inlinks=5000)
     assert linked.count() == n and linked.where("url = 'http://hot/x'").count() == n // 3
     sets = {row.url: len(row.inlinks) for row in inlink_sets_of(edges, 99)}
     assert sets["http://hot/x"] == 100 and sum(sets.values()) == 100 + n * 2 // 3
@@ -284,3 +284,15 @@ def test_pooled_similarity(kb, pages):
     expected = {url: cosine(doc, pooled) for url, doc in docs.items()}
     found = {row.url: row.score for row in relevance_plans.top_domains(pages, kb).collect()}
     assert found == pytest.approx(expected, abs=1e-12)
+
+
+def test_chunks_hold_every_inlink_of_a_hub(spark):
+    edges = spark.range(6000).selectExpr("'http://hub/' as to_url", "concat('http://p/', id) as from_url")
+    edges = edges.union(edges).union(spark.createDataFrame([("http://t/", "http://p/1"), (None, "x"), ("y", None)], "to_url string, from_url string"))
+    rows = links.inlink_chunks(edges, chunk_size=500).collect()
+    hub = [row for row in rows if row.url == "http://hub/"]
+    assert len(hub) == 12 and {row.n_inlinks for row in hub} == {6000}
+    assert sorted(link for row in hub for link in row.inlinks) == sorted(f"http://p/{i}" for i in range(6000))
+    assert max(len(row.inlinks) for row in hub) < 1000
+    limited = {row.url: row for row in links.inlink_sets(edges, 9).collect()}
+    assert len(limited["http://hub/"].inlinks) == 10 and limited["http://hub/"].n_inlinks == 6000

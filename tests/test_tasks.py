@@ -85,14 +85,14 @@ def test_knowledge_base_and_stop_words(spark, crawl):
 
 def test_dump_then_deduplicate(spark, crawl, tmp_path):
     out = f"{tmp_path}/dump"
-    tasks.dump_linked(spark, segment_dir=f"{crawl}/segments", link_db=f"{crawl}/linkdb", output_dir=out, labels=LABELS)
+    tasks.dump_linked(spark, max_inlinks=5000, segment_dir=f"{crawl}/segments", link_db=f"{crawl}/linkdb", output_dir=out, labels=LABELS)
     docs = [json.loads(line) for line in lines(out)]
     assert sorted(doc["url"] for doc in docs) == ["http://h.org/i.png", "http://www.h.org/a", "http://www.h.org/a"]
     image = next(doc for doc in docs if doc["content_type"] == "image/png")
     assert image["obj_parent"] == "http://www.h.org/a" and image["crawl_data"] == {"inlinks": ["http://www.h.org/a"]}
     assert all("obj_parent" not in doc for doc in docs if doc is not image)
     with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
-        tasks.dump_linked(spark, segment_dir=f"{crawl}/segments", link_db=f"{crawl}/linkdb", output_dir=out,
+        tasks.dump_linked(spark, max_inlinks=5000, segment_dir=f"{crawl}/segments", link_db=f"{crawl}/linkdb", output_dir=out,
                           labels=LABELS)
 
     read = readers.read_dump(spark, out)
@@ -127,7 +127,7 @@ def test_unlinked_dump(spark, crawl, tmp_path):
 
 
 def test_index_dump(spark, crawl, tmp_path):
-    tasks.dump_index(spark, segment_dir=f"{crawl}/segments", link_db=f"{crawl}/linkdb", crawl_db=f"{crawl}/crawldb",
+    tasks.dump_index(spark, max_inlinks=5000, segment_dir=f"{crawl}/segments", link_db=f"{crawl}/linkdb", crawl_db=f"{crawl}/crawldb",
                      crawl_id="run", output_dir=f"{tmp_path}/out")
     docs = [json.loads(line) for line in lines(f"{tmp_path}/out")]
     assert sorted(doc["url"] for doc in docs) == ["http://h.org/i.png", "http://www.h.org/a", "http://www.h.org/a"]
