@@ -60,9 +60,12 @@ class CoverTree:
             return node
         half = min(radius, node.radius) / 2
         owner, centers, left = np.full(len(own), -1), [], np.arange(len(own))
+        # Unit vectors: within `half` of each other means a dot product of at least 1 - half^2 / 2.
+        alike = own @ own.T >= 1 - half * half / 2
         while len(left):
             chosen = left[0]
-            near = np.linalg.norm(own[left] - own[chosen], axis=1) <= half
+            near = alike[chosen, left]
+            near[0] = True
             owner[left[near]] = len(centers)
             centers.append(chosen)
             left = left[~near]
@@ -107,8 +110,14 @@ class Links:
                 self._whole(a, b)
             elif not a.children and not b.children:
                 self._points(a.start, a.end, b.start, b.end)
-            elif not b.children or a.children and a.radius >= b.radius:
-                # Children far from the other node go at once; only near ones are visited.
+            elif a.children and b.children:
+                # All child pairs at once; only near ones are visited.
+                apart = np.sqrt(np.maximum(0, 2 - 2 * (a.centers @ b.centers.T)))
+                apart -= self.bound + SLACK
+                apart -= a.radii[:, None]
+                near = np.nonzero(apart <= b.radii[None, :])
+                waiting += [(a.children[row], b.children[column]) for row, column in zip(*[n.tolist() for n in near])]
+            elif a.children:
                 apart = np.linalg.norm(a.centers - b.center, axis=1)
                 near = np.flatnonzero(apart <= a.radii + b.radius + self.bound + SLACK)
                 waiting += [(a.children[place], b) for place in near.tolist()]
@@ -150,10 +159,11 @@ def unit(rows: list) -> np.ndarray:
     return points / np.linalg.norm(points, axis=1, keepdims=True)
 
 
-def label_centers(points: DataFrame, sample: int = SAMPLE, most: int = CENTERS) -> dict:
+def label_centers(points: DataFrame, bound: float, sample: int = SAMPLE, most: int = CENTERS) -> dict:
     """(label, length) to centers: the top of each label's tree, from at most about `sample` vectors in all.
 
-    A label with few sampled vectors has few centers; one without has a single cell.
+    Of a label's centers, picked farthest first, as many are used as make the fewest
+    comparisons of the sampled vectors: vectors that do not cluster are best left in one cell.
     """
     total = points.count()
     share = min(1.0, sample / max(1, total))
@@ -161,35 +171,46 @@ def label_centers(points: DataFrame, sample: int = SAMPLE, most: int = CENTERS)
     by_label: dict = {}
     for row in sorted(drawn.select("id", "label", "vector").limit(2 * sample).collect()):
         by_label.setdefault((row["label"], len(row["vector"])), []).append(row["vector"])
-    centers = {}
-    for label, rows in by_label.items():
-        own = unit(rows)
-        chosen, apart = [own[0]], np.linalg.norm(own - own[0], axis=1)
-        # Farthest points first, until all lie within half the unit radius of a center or there are enough.
-        while len(chosen) < min(most, 1 + len(own) // 64) and apart.max() > 0.5:
-            chosen.append(own[int(apart.argmax())])
-            apart = np.minimum(apart, np.linalg.norm(own - chosen[-1], axis=1))
-        centers[label] = np.array(chosen)
-    return centers
-
-
-def cells(points: DataFrame, centers: dict, least: float) -> DataFrame:
+    return {label: _top(unit(rows), most, bound) for label, rows in by_label.items()}
+
+
+def _top(own: np.ndarray, most: int, bound: float) -> np.ndarray:
+    chosen, apart = [own[0]], np.linalg.norm(own - own[0], axis=1)
+    while len(chosen) < min(most, len(own)) and apart.max() > bound:
+        chosen.append(own[int(apart.argmax())])
+        apart = np.minimum(apart, np.linalg.norm(own - chosen[-1], axis=1))
+    chosen, costs = np.array(chosen), {}
+    for count in {1, *(2 ** power for power in range(1, 12) if 2 ** power < len(chosen)), len(chosen)}:
+        cell, visits = _places(own, chosen[:count], bound)
+        homes = np.bincount(cell, minlength=count)
+        # Each copy of a vector costs about as much as 64 comparisons.
+        costs[count] = int((homes * (homes + visits.sum(axis=0))).sum()) + 64 * int(visits.sum())
+    return chosen[:min(costs, key=lambda count: (costs[count], count))]
+
+
+def _places(own: np.ndarray, centers: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """Each vector's cell, and which earlier cells it visits."""
+    apart = np.sqrt(np.maximum(0, 2 - 2 * own @ centers.T))
+    cell = apart.argmin(axis=1)
+    between = np.sqrt(np.maximum(1e-12, 2 - 2 * centers @ centers.T))[cell]
+    beyond = (apart ** 2 - apart[np.arange(len(own)), cell][:, None] ** 2) / (2 * between)
+    return cell, (beyond <= bound) & (np.arange(len(centers))[None, :] < cell[:, None])
+
+
+def cells(points: DataFrame, centers: dict, bound: float) -> DataFrame:
     """`label`, `size`, `cell`, `home`, `id`, `weight`, `vector`: each vector in its own cell and in those it visits."""
-    bound = float(np.sqrt(max(0.0, 2 - 2 * least))) + SLACK
     table = points.sparkSession.sparkContext.broadcast(centers)
 
     def work(rows):
         for id_, label, weight, vector in rows:
-            key, own = (label.decode(), len(vector)), unit([vector])[0]
-            known, cell = table.value.get(key), 0
+            key, own = (label.decode(), len(vector)), unit([vector])
+            known, cell, vector = table.value.get(key), 0, own[0].tolist()
             if known is not None:
-                apart = np.linalg.norm(known - own, axis=1)
-                cell = int(apart.argmin())
-                between = np.linalg.norm(known[:cell] - known[cell], axis=1)
-                beyond = (apart[:cell] ** 2 - apart[cell] ** 2) / np.maximum(2 * between, 1e-12)
-                for visited in np.flatnonzero(beyond <= bound).tolist():
-                    yield key[0], len(vector), visited, False, id_, weight, own.tolist()
-            yield key[0], len(vector), cell, True, id_, weight, own.tolist()
+                cells_, visits = _places(own, known, bound)
+                cell = int(cells_[0])
+                for visited in np.flatnonzero(visits[0]).tolist():
+                    yield key[0], len(vector), visited, False, id_, weight, vector
+            yield key[0], len(vector), cell, True, id_, weight, vector
 
     schema = pa.schema([("label", pa.string()), ("size", pa.int32()), ("cell", pa.int32()), ("home", pa.bool_()),
                         ("id", pa.int64()), ("weight", pa.int64()), ("vector", pa.list_(pa.float64()))])
@@ -231,7 +252,8 @@ def linked_vectors(embeddings: DataFrame, least: float = 0.93) -> DataFrame:
     rows = kept(usable_vectors(embeddings).dropDuplicates(["vec_id", "label", "vector"]))
     points = kept(rows.groupBy("label", "vector").agg(
         F.min("vec_id").alias("id"), F.count("*").alias("weight")))
-    placed = kept(cells(points, label_centers(points), least))
+    bound = float(np.sqrt(max(0.0, 2 - 2 * least))) + SLACK
+    placed = kept(cells(points, label_centers(points, bound), bound))
     sizes = placed.groupBy("label", "size", "cell").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     keys = ["label", "size", "cell"]
