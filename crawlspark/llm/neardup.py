@@ -12,7 +12,7 @@ still mostly meet.
 Only connections are asked for, so pairs already connected are not compared:
 1. every class is compared with the bucket head it meets most often;
 2. classes still apart from others in their buckets are compared with the nearest of those, twice;
-3. all bucket mates that are still apart and at a distance up to 27 are compared.
+3. all bucket mates that are still apart and at a distance up to 27 are compared, block by block.
 After step 3 no pair that meets is left unchecked. Comparison is on full shingle sets.
 A bucket is dealt out in blocks of at most `BLOCK` classes a side, so that the size of a group
 bounds no task. A family of many texts that are all alike but not similar enough costs pairs.
@@ -71,6 +71,11 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mix(least) >> np.uint64(48)).astype(np.uint16)
 
 
+NEAREST = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.int64())])
+PARTNERS = pa.schema([("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("id", pa.int64()),
+                      ("comp", pa.int64()), ("partners", pa.list_(pa.int64()))])
+
+
 def profiles(documents: DataFrame, shingle: int) -> DataFrame:
     """`doc_id`, `n_shingles`, `f1`, `f2` (a fingerprint of the set) and `signature` per row."""
 
@@ -102,10 +107,14 @@ def _distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _block_pairs(nearest: bool):
-    """Pairs of different components from bucket blocks; each pair once, or each left row with its nearest."""
+    """What a bucket block has to compare: each left row with its nearest, or with a list of all its partners.
+
+    In the second case rows of side 0 carry their partners and rows of side 1 say who
+    is needed as a partner, so that a block's rows grow with its members, not its pairs.
+    """
 
     def work(rows):
-        for (_, _, _), group in groupby(rows, key=lambda row: row[:3]):
+        for (key, i, j), group in groupby(rows, key=lambda row: row[:3]):
             group = list(group)
             sides = [[row for row in group if row[3] == side] for side in (0, 1)]
             if not sides[0] or not sides[1]:
@@ -117,6 +126,7 @@ def _block_pairs(nearest: bool):
                 comps.append(np.array([row[6] for row in side]))
                 major.append(np.array([row[7] for row in side]))
                 signs.append(np.frombuffer(b"".join(row[8] for row in side), np.uint16).reshape(-1, COMPONENTS))
+            needed = np.zeros(len(ids[1]), bool)
             for start in range(0, len(ids[0]), 64):
                 part = slice(start, start + 64)
                 errors = _distances(signs[0][part], signs[1])
@@ -133,14 +143,17 @@ def _block_pairs(nearest: bool):
                 chunk = (errors <= 1).argmax(axis=2)
                 at_first = np.take_along_axis(errors, chunk[:, :, None], axis=2)[:, :, 0]
                 good &= (chunk == _CHUNK_OF[slot]) & ((at_first == 1) | _FIRST_OF[slot])
-                for row, column in zip(*[place.tolist() for place in np.nonzero(good)]):
-                    yield int(ids[0][part][row]), int(ids[1][column]), int(distance[row, column])
+                for row in np.flatnonzero(good.any(axis=1)).tolist():
+                    yield key, i, j, 0, int(ids[0][part][row]), int(comps[0][part][row]), ids[1][good[row]].tolist()
+                needed |= good.any(axis=0)
+            for column in np.flatnonzero(needed).tolist():
+                yield key, i, j, 1, int(ids[1][column]), int(comps[1][column]), None
 
-    return arrow_rows(work, pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.int64())]))
+    return arrow_rows(work, NEAREST if nearest else PARTNERS, flush_rows=2000)
 
 
 def apart_pairs(members: DataFrame, classes: DataFrame, found: DataFrame, nearest: bool) -> DataFrame:
-    """`a`, `b`: bucket mates of different components within the farthest distance.
+    """Bucket mates of different components within the farthest distance: `a`, `b`, or blocks with lists of partners.
 
     In every bucket, rows outside its largest component are compared with all
     rows: no other pair can be of different components and left out.
@@ -160,10 +173,50 @@ def apart_pairs(members: DataFrame, classes: DataFrame, found: DataFrame, neares
     left = mixed.where("not major").select("key", F.col("own").alias("i"), others.alias("j"), F.lit(0).alias("side"), *names)
     right = mixed.select("key", others.alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), *names)
     dealt = left.union(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    pairs = dealt.mapInArrow(_block_pairs(nearest), "a bigint, b bigint, distance bigint")
-    if nearest:
-        pairs = pairs.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best")).select("a", "best.b")
-    return pairs.select("a", "b")
+    if not nearest:
+        return dealt.mapInArrow(_block_pairs(False), "key bigint, i int, j int, side int, id bigint, comp bigint, "
+                                                     "partners array<bigint>")
+    pairs = dealt.mapInArrow(_block_pairs(True), "a bigint, b bigint, distance bigint")
+    return pairs.groupBy("a").agg(F.min(F.struct("distance", "b")).alias("best")).select("a", "best.b")
+
+
+def similar_in_blocks(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """`a`, `b`: links that join the components of each block, found by comparing partners on full sets.
+
+    Partners whose components a link of the block has joined already are passed over,
+    so a block gives fewer links than it has members.
+    """
+
+    def work(rows):
+        for _, group in groupby(rows, key=lambda row: row[:3]):
+            known, parent = {}, {}
+
+            def root(comp):
+                while parent.setdefault(comp, comp) != comp:
+                    parent[comp] = comp = parent[parent[comp]]
+                return comp
+
+            for _, _, _, side, id_, comp, partners, shingles in group:
+                own = np.array(shingles, np.int64)
+                own.sort()
+                if side:
+                    known[id_] = comp, own
+                    continue
+                for partner in partners:
+                    other, theirs = known[partner]
+                    if root(comp) == root(other):
+                        continue
+                    if 100 * min(len(own), len(theirs)) < percent * max(len(own), len(theirs)):
+                        continue
+                    places = np.searchsorted(theirs, own)
+                    shared = int((theirs[np.minimum(places, len(theirs) - 1)] == own).sum())
+                    if 100 * shared >= percent * (len(own) + len(theirs) - shared):
+                        parent[root(comp)] = root(other)
+                        yield id_, partner
+
+    with_sets = skew_safe_join(blocks, sets, ["id"]).repartition("key", "i", "j").sortWithinPartitions(
+        "key", "i", "j", F.desc("side"), "id").select("key", "i", "j", "side", "id", "comp", "partners", "shingles")
+    return with_sets.mapInArrow(arrow_rows(work, pa.schema([("a", pa.int64()), ("b", pa.int64())])), "a bigint, b bigint")
 
 
 def shingle_sets(documents: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
@@ -214,9 +267,11 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
         "key", F.col("at").cast("int").alias("slot"), F.col("doc_id").alias("id"), F.col("key_first").alias("head")))
     sets = kept(shingle_sets(documents, members.select("id").distinct(), shingle))
     links = kept(similar(head_pairs(members, classes), sets, percent))
-    for nearest in (True, True, False):
-        pairs = kept(apart_pairs(members, classes, components(links), nearest))
+    for _ in range(2):
+        pairs = kept(apart_pairs(members, classes, components(links), True))
         links = kept(links.union(similar(pairs, sets, percent)))
+    blocks = kept(apart_pairs(members, classes, components(links), False))
+    links = kept(links.union(similar_in_blocks(blocks, sets, percent)))
     named = classes.select("f1", "f2", "id").join(components(links), "id", "left").select(
         "f1", "f2", F.coalesce("component", "id").alias("component"))
     joined = skew_safe_join(profile.select("doc_id", "n_shingles", "f1", "f2"), named, ["f1", "f2"], "left")
