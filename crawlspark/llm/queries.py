@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from crawlspark.llm import covertree, decontam, langid, mixing, neardup, pii, recompression, secrets, suffixes, warc
+from crawlspark.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,5 +53,3 @@ def op10_recompression_dedup(spark, sf_dir):
 QUERIES = {query.__name__: query for query in (
     op1_language_id, op2_personal_data, op3_warc_chunks, op4_cover_tree, op5_spaced_seeds,
     op6_fair_queue_mix, op7_secret_scan, op8_multi_index_hamming, op9_suffix_dedup, op10_recompression_dedup)}
-
-ORACLE_SQL: dict[str, str] = {}
