@@ -4,10 +4,13 @@ import os
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Row
+import pyarrow as pa
+from pyarrow.fs import FileSystem, FileType
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.functions.identity import plain_path
+from crawlspark.operators.joins import lookup_join
 
 
 def write_json(df: DataFrame, path: str, keep_nulls: bool = False) -> None:
@@ -58,27 +61,67 @@ def write_host_report(ranked_hosts: DataFrame, path: str) -> None:
 
 
 def one_image_per_path(images: DataFrame) -> DataFrame:
-    """One `content` per `path`: of several, the one whose hash is smallest."""
-    return images.where((F.col("path") != "") & F.col("content").isNotNull()).groupBy("path").agg(
-        F.min_by("content", F.sha2("content", 256)).alias("content"))
+    """`path`, `content` of images that have both; of several contents, those whose hash is smallest stay.
+
+    Clashes are found on paths and hashes alone, and the losing ones taken out: while they are
+    few, no image is moved. Runs one aggregate job that measures them. Equal images
+    of one path all stay.
+    """
+    named = images.where((F.col("path") != "") & F.col("content").isNotNull()).select(
+        "path", F.col("content").cast("binary").alias("content"), F.sha2(F.col("content"), 256).alias("hash"))
+    hashes = named.select("path", "hash").distinct()
+    clashing = hashes.groupBy("path").agg(F.min("hash").alias("least"), F.count("*").alias("n")).where("n > 1")
+    losing = hashes.join(clashing, "path").where("hash <> least").select("path", "hash")
+    return lookup_join(named, losing, ["path", "hash"], "left_anti").select("path", "content")
+
+
+def _safe(path: str) -> str:
+    """A path that stays below its folder: steps upwards are percent-encoded."""
+    return "/".join("%2E%2E" if part == ".." else part for part in path.split("/") if part not in ("", "."))
 
 
-def export_images(images: DataFrame, folder: str) -> None:
-    """Write each image to `<folder>/<path>` from the executors.
+def export_images(images: DataFrame, folder: str) -> int:
+    """Write each image to `<folder>/<path>` from the executors; returns how many were written.
 
-    `folder` must be a file system every executor sees. A file is written under a
-    passing name and then renamed, so a task that is run again replaces its own
-    files and a reader never sees half of one.
+    `folder` is a local path or a URI that `pyarrow.fs` opens (`file`, `hdfs`, `s3`, `gs`). All executors must
+    see it: the driver leaves a mark there, and a task that does not find it fails. A file is written
+    under a passing name and then moved, so a task that is run again replaces its
+    own files and a reader never sees half of one. Steps upwards in a path are encoded.
     """
-    def write_partition(rows: Iterator[Row]) -> None:
-        for row in rows:
-            target = os.path.join(folder, *row["path"].split("/"))
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            passing = f"{target}.{uuid.uuid4().hex}.tmp"
-            with open(passing, "wb") as out:
-                out.write(bytes(row["content"]))
-            os.replace(passing, target)
-
-    os.makedirs(folder, exist_ok=False)
-    one_image_per_path(images).withColumn("content", F.col("content").cast("binary")).foreachPartition(
-        write_partition)
+    place = folder if "://" in folder else os.path.abspath(folder)
+    system, root = FileSystem.from_uri(place)
+    if system.get_file_info(root).type != FileType.NotFound:
+        raise FileExistsError(folder)
+    system.create_dir(root)
+    mark = f".mark-{uuid.uuid4().hex}"
+    system.open_output_stream(f"{root}/{mark}").close()
+
+    def write_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = FileSystem.from_uri(place)
+        if system.get_file_info(f"{root}/{mark}").type != FileType.File:
+            raise FileNotFoundError(f"{folder} is not shared with this executor")
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                target = f"{root}/{_safe(path.as_py())}"
+                passing = f"{target}.{uuid.uuid4().hex}.tmp"
+                system.create_dir(target.rpartition("/")[0])
+                try:
+                    with system.open_output_stream(passing) as out:
+                        out.write(content.as_buffer())
+                    try:
+                        system.move(passing, target)
+                    except OSError:
+                        # Some stores do not move onto a file, as one left by an earlier attempt.
+                        system.delete_file(target)
+                        system.move(passing, target)
+                except BaseException:
+                    if system.get_file_info(passing).type == FileType.File:
+                        system.delete_file(passing)
+                    raise
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    try:
+        written = one_image_per_path(images).mapInArrow(write_batches, "n bigint")
+        return written.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    finally:
+        system.delete_file(f"{root}/{mark}")

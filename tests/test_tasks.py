@@ -145,6 +145,15 @@ def test_images(spark, crawl, tmp_path):
         tasks.export_images(spark, segment_dir=f"{crawl}/segments", output_dir=f"{tmp_path}/by_id")
 
 
+def test_images_of_one_path_and_paths_that_lead_upwards(spark, tmp_path):
+    rows = [("a/x", b"one"), ("a/x", b"one"), ("a/x", b"two"), ("a/../../y", b"three"), ("", b"four"), ("b", None), ("c", b"")]
+    images = spark.createDataFrame(rows, "path string, content binary").repartition(3)
+    least = min((b"one", b"two"), key=lambda content: hashlib.sha256(content).hexdigest())
+    assert writers.export_images(images, f"file://{tmp_path}/out") == 2 + (2 if least == b"one" else 1)
+    files = {str(path.relative_to(tmp_path)): path.read_bytes() for path in tmp_path.rglob("*") if path.is_file()}
+    assert files == {"out/a/x": least, "out/a/%2E%2E/%2E%2E/y": b"three", "out/c": b""}
+
+
 def test_statistics(spark, crawl, tmp_path):
     tasks.crawl_statistics(spark, segment_dir=f"{crawl}/segments", output_dir=f"{tmp_path}/out")
     assert [tuple(row) for row in spark.read.parquet(f"{tmp_path}/out/host_urls").orderBy("host").collect()] == [
