@@ -13,7 +13,8 @@ from crawlspark.operators import dedup, metadata, records, relevance, stats
 from crawlspark.operators import links as link_ops
 from crawlspark.plans import dumps
 from crawlspark.plans import relevance as relevance_plans
-from crawlspark.sources.readers import read_stop_words, union_all
+from crawlspark.sources.readers import dump_of_lines, knowledge_base_of_lines, read_stop_words, union_all
+from crawlspark.sources.writers import json_lines
 
 
 def listed(column: str) -> Column:
@@ -83,6 +84,11 @@ def cdr_dump_unlinked(spark, sf):
     return show_dump(dumps.unlinked_dump(V.content(spark, sf), V.links(spark, sf), V.LABELS))
 
 
+def cdr_json_roundtrip(spark, sf):
+    dump = dumps.unlinked_dump(V.content(spark, sf), V.links(spark, sf), V.LABELS)
+    return show_dump(dump_of_lines(json_lines(dump)).select(*dump.columns))
+
+
 def cdr_minimal(spark, sf):
     return records.minimal_records(V.content(spark, sf), V.LABELS)
 
@@ -240,6 +246,10 @@ def field_catalogue(spark, sf):
 
 # --- relevance ---
 
+def kb_lines(spark, sf):
+    return knowledge_base_of_lines(V.knowledge_base_lines(spark, sf))
+
+
 def kb_term_freq(spark, sf):
     return relevance.kb_terms(V.knowledge_base(spark, sf), read_stop_words(spark))
 
@@ -317,13 +327,13 @@ def bottom_urls(spark, sf):
 QUERIES = {query.__name__: query for query in (
     host_url_counts, crawl_totals, distinct_urls, distinct_hosts,
     cdr_ids, cdr_dump_linked, cdr_dump_linked_left, cdr_dump_expanded, cdr_dump_state_time, cdr_dump_unlinked,
-    cdr_minimal, index_dump, index_dump_left, status_and_retry, fetch_time_text,
+    cdr_json_roundtrip, cdr_minimal, index_dump, index_dump_left, status_and_retry, fetch_time_text,
     image_paths, image_ids, image_relink,
     dedup_index, dedup_apply, dedup_apply_exact, segment_union, segment_merge, dedup_url_text,
     url_list, plain_text, plain_text_all_entities, text_mime_filter, page_filter, parse_gate,
     page_outlinks, link_graph, inlink_sets, inlink_sets_limited, inlink_chunks,
     page_metadata, typed_metadata, field_catalogue,
-    kb_term_freq, kb_idf, kb_profile, kb_magnitude, doc_term_freq,
+    kb_lines, kb_term_freq, kb_idf, kb_profile, kb_magnitude, doc_term_freq,
     page_relevance, doc_similarity, host_similarity, hashed_similarity, top_domains, top_urls, bottom_urls,
     top_domain_urls, bottom_domain_urls, ranked_urls,
 )}

@@ -11,7 +11,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.fixed_values import LAST_MODIFIED_KEY, PROTOCOL_CODE_KEY
+from crawlspark.fixed_values import KB_DELIMITER, LAST_MODIFIED_KEY, PROTOCOL_CODE_KEY
 from crawlspark.functions.times import clock
 from crawlspark.operators.records import RunLabels, dump_records
 from crawlspark.sources.readers import union_all
@@ -219,6 +219,14 @@ def knowledge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("kb:"), F.col("item_id").cast("string")).alias("kb_url"), F.col("text").alias("kb_text"))
 
 
+def knowledge_base_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Knowledge-base lines in `value`: of one field (nations), two (suppliers) and three (customers)."""
+    part = lambda name, *columns: table(spark, sf_dir, name).select(
+        F.concat_ws(KB_DELIMITER, *columns).alias("value"))
+    return (part("nation", "n_name").union(part("supplier", "s_name", "s_name"))
+            .union(part("customer", "c_name", "c_mktsegment", "c_name")))
+
+
 DUMP_PARTS = {
     "web": "file:///dump/part-00000",
     "files": "file:///dump/part-00001",

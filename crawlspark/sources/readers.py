@@ -79,10 +79,22 @@ def read_dedup_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DEDUP_INDEX).parquet(path)
 
 
+def dump_of_lines(lines: DataFrame) -> DataFrame:
+    """Dumped documents from a table of JSON lines in `value`; other columns stay. Bad lines raise."""
+    others = [name for name in lines.columns if name != "value"]
+    record = F.from_json("value", DUMP_RECORD, {"mode": "FAILFAST"}).alias("record")
+    return lines.select(*others, record).select(*others, "record.*")
+
+
 def read_knowledge_base(spark: SparkSession, path: str) -> DataFrame:
-    """Knowledge-base lines `url|_|text` as `kb_url`, `kb_text`; further fields are ignored."""
+    """Knowledge-base lines `url|_|text` as `kb_url`, `kb_text`."""
+    return knowledge_base_of_lines(spark.read.text(path))
+
+
+def knowledge_base_of_lines(lines: DataFrame) -> DataFrame:
+    """`kb_url`, `kb_text` of lines in `value`; a line of one field has an empty text, fields past the second are ignored."""
     fields = F.split(F.col("value"), rf"\Q{KB_DELIMITER}\E")
-    return spark.read.text(path).select(
+    return lines.select(
         F.get(fields, F.lit(0)).alias("kb_url"), F.coalesce(F.get(fields, F.lit(1)), F.lit("")).alias("kb_text"))
 
 

@@ -13,6 +13,12 @@ from crawlspark.functions.identity import plain_path
 from crawlspark.operators.joins import lookup_join
 
 
+def json_lines(df: DataFrame, keep_nulls: bool = False) -> DataFrame:
+    """`value`: the line that `write_json` writes for each row."""
+    options = {"ignoreNullFields": str(not keep_nulls).lower()}
+    return df.select(F.to_json(F.struct(*df.columns), options).alias("value"))
+
+
 def write_json(df: DataFrame, path: str, keep_nulls: bool = False) -> None:
     """One JSON object per line. Null fields are left out unless `keep_nulls`."""
     df.write.mode("errorifexists").option("ignoreNullFields", not keep_nulls).json(path)
