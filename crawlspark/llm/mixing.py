@@ -11,12 +11,14 @@ Repeated rows are documents of their own; an empty table gives an empty result.
 other than doc_id, text and source are not looked at.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from crawlspark.llm.shared import WORD, attach, kept
 
-# 10^11 documents: 2.4 x 10^7 in a slot of a source that owns all, as many in a range of finish times.
+# 10^11 documents: 2.4 x 10^7 in a slot of a source that owns all, 12,000 entries in a range of a range of finish times.
 SLOTS = 4096
 
 
@@ -44,6 +46,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, mos
                           F.least(level * F.col("weight"), F.col("cap")).alias("target"))
 
 
+def last_range(entries: DataFrame, budget: float) -> Row | None:
+    """`range`, `before` (words of earlier ranges) of the range in which the budget ends; None where all fits.
+
+    Ranges are summed, not sorted; one row reaches the driver.
+    """
+    upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+    totals = entries.groupBy("range").agg(F.sum("size").alias("own")).withColumn("end", F.sum("own").over(upto))
+    return totals.where(F.col("end") > F.lit(budget)).orderBy("range").select(
+        "range", (F.col("end") - F.col("own")).alias("before")).first()
+
+
 def mix(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5,
         most: int = 2) -> DataFrame:
     """`doc_id`, `size`, `source_size`, `target`, `taken` per row: the words the mix takes, repeats counted.
@@ -70,22 +83,24 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
         F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("turn"))
     entries = entries.withColumn(
         "finish", (F.col("upto") + F.col("turn") * F.col("source_size")).cast("double") / F.col("target"))
-    # All sources use up their targets evenly over finish times 0 to 1, so equal ranges of time hold equal token counts.
-    entries = entries.withColumn("range", F.least(F.floor(F.col("finish") * SLOTS), F.lit(2 * SLOTS)).cast("int"))
-    totals = entries.groupBy("range").agg(F.sum("size").alias("range_size"))
-    upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("start", F.coalesce(F.sum("range_size").over(upto), F.lit(0)))
-    budget = F.lit(sizes.agg((F.coalesce(F.sum("size"), F.lit(0)) * F.lit(share)).alias("budget")).first()["budget"])
-    totals = totals.where(F.col("start") <= budget)
-    totals = totals.withColumn("whole", F.col("start") + F.col("range_size") <= budget)
-    placed = entries.join(totals, "range")
-    sure = placed.where("whole").select("row", "size")
-    # Only the range in which the budget ends has to be sorted.
-    in_range = Window.partitionBy("range").orderBy("finish", "queue", "turn", "mix", "doc_id", "size").rowsBetween(
+    # All sources use up their targets evenly over finish times 0 to 1, so equal ranges of time hold equal word counts.
+    budget = sizes.agg((F.coalesce(F.sum("size"), F.lit(0)) * F.lit(share)).alias("budget")).first()["budget"]
+    rest, used, parts = entries.withColumn("place", F.col("finish") * SLOTS), 0, []
+    for _ in range(2):
+        rest = rest.withColumn("range", F.least(F.floor("place"), F.lit(2 * SLOTS)).cast("int"))
+        last = last_range(rest, budget - used)
+        if last is None:
+            break
+        parts.append(rest.where(F.col("range") < last["range"]))
+        rest, used = rest.where(F.col("range") == last["range"]), used + last["before"]
+        rest = kept(rest.withColumn("place", (F.col("place") - F.col("range")) * SLOTS))
+    # Only the entries of the last range of the last range have to be sorted.
+    in_order = Window.partitionBy("range").orderBy("finish", "queue", "turn", "mix", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, 0)
-    last = placed.where("not whole").withColumn("end", F.col("start") + F.sum("size").over(in_range))
-    last = last.where(F.col("end") <= budget).select("row", "size")
-    taken = sure.union(last).groupBy("row").agg(F.sum("size").alias("taken"))
+    parts.append(rest if last is None else rest.withColumn("end", F.sum("size").over(in_order)).where(
+        F.col("end") <= F.lit(budget - used)))
+    taken = reduce(DataFrame.union, [part.select("row", "size") for part in parts]).groupBy("row").agg(
+        F.sum("size").alias("taken"))
     return queued.join(taken, "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
 
