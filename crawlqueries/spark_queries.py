@@ -11,6 +11,7 @@ from crawlspark.functions.identity import body_text, document_id
 from crawlspark.functions.text import gated_text
 from crawlspark.operators import dedup, metadata, records, relevance, stats
 from crawlspark.operators import links as link_ops
+from crawlspark.operators.joins import settled
 from crawlspark.plans import dumps
 from crawlspark.plans import relevance as relevance_plans
 from crawlspark.sources.readers import dump_of_lines, knowledge_base_of_lines, read_stop_words, union_all
@@ -158,7 +159,8 @@ def dedup_index(spark, sf):
 
 def dedup_apply(spark, sf):
     dump = V.dump(spark, sf)
-    return dedup.apply_dedup_index(dump, dedup.dedup_index(dump)).select("path", "_id", "url", "raw_content")
+    # The index is a table of its own, like the one the task reads: made once, where a shared folder is set.
+    return dedup.apply_dedup_index(dump, settled(dedup.dedup_index(dump))).select("path", "_id", "url", "raw_content")
 
 
 def dedup_apply_exact(spark, sf):

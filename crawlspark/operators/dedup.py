@@ -1,6 +1,6 @@
 """Content deduplication and merging of re-crawled pages."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlspark.functions.identity import plain_path, sha_hex
@@ -63,12 +63,26 @@ def apply_dedup_index(dump: DataFrame, index: DataFrame, exact: bool = False) ->
 
 
 def merge_segments(content: DataFrame, time: Column) -> DataFrame:
-    """The newest record of every URL; equal times fall back to segment and content order."""
+    """The newest record of every URL; equal times fall back to segment and content order.
+
+    The newest is found on narrow columns, so bodies move once, to meet what was found. Only
+    rows that agree in all of these are compared as rows: there every task passes on one row per URL,
+    so that no task meets all copies of a page.
+    """
     columns = content.columns
     ties = [F.col(name) for name in ("segment", "content_type", "http_date") if name in columns]
-    order = F.struct(time.alias("time"), *ties, F.sha2(F.col("content"), 256).alias("body"))
-    newest = content.groupBy("url").agg(F.max_by(F.struct(*columns), order).alias("newest"))
-    return newest.select("newest.*")
+    # A struct is never null, so that rows without URL meet too.
+    marked = content.withColumns({
+        "__url": F.struct("url"),
+        "__order": F.struct(time.alias("time"), *ties, F.sha2(F.col("content"), 256).alias("body"))})
+    counted = marked.groupBy("__url", "__order").agg(F.count("*").alias("n"))
+    newest = counted.groupBy("__url").agg(F.max(F.struct("__order", "n")).alias("newest")).select(
+        "__url", "newest.__order", "newest.n")
+    # An inner join: a semi join would be pushed into each part of a union and read the found rows once per part.
+    found = skew_safe_join(marked, newest, ["__url", "__order"])
+    place = F.row_number().over(Window.partitionBy("__url").orderBy("__order"))
+    first = found.where("n > 1").withColumn("__place", place).where("__place = 1")
+    return found.where("n = 1").select(*columns).union(first.select(*columns))
 
 
 def one_text_per_url(texts: DataFrame) -> DataFrame:

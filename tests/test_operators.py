@@ -97,6 +97,13 @@ def test_merge_and_first_text(spark):
     df = spark.createDataFrame(rows, "segment string, url string, content_type string, content string, t int")
     merged = dedup.merge_segments(df, F.col("t")).collect()
     assert {(row.url, row.content) for row in merged} == {("u", "new"), ("v", None)}
+    # Copies in any number, records without URL, and ties by segment, type, date and body each leave one row.
+    more = df.union(df).union(df.selectExpr("segment", "null", "content_type", "content", "t")).union(
+        df.where("t = 2").selectExpr("'s3'", "url", "content_type", "'newer segment'", "t"))
+    again = dedup.merge_segments(more.union(more), F.col("t")).collect()
+    assert len(again) == 3
+    assert {(row.url, row.content) for row in again} == {(None, "new"), ("u", "newer segment"), ("v", None)}
+    assert dedup.merge_segments(df.limit(0), F.col("t")).collect() == []
     texts = df.select("segment", "url", F.col("content").alias("text")).where("text is not null")
     assert [tuple(row) for row in dedup.one_text_per_url(texts).collect()] == [("u", "old")]
 

@@ -37,6 +37,12 @@ def test_semi_and_anti_joins(spark):
     assert "LeftAnti" in plan_of(QUERIES["cdr_dump_unlinked"](spark, SF))
 
 
+def test_bodies_are_not_aggregated_when_segments_are_merged(spark):
+    plan = plan_of(QUERIES["segment_merge"](spark, SF))
+    aggregates = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert aggregates and not any(re.search(r"\bcontent#", line) for line in aggregates)
+
+
 def test_term_counting_shuffles_texts_not_terms(spark):
     plan = plan_of(QUERIES["doc_term_freq"](spark, SF))
     assert plan.count("Exchange") == 1 and plan.index("HashAggregate") < plan.index("Generate") < plan.index("Exchange")
