@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 
 from crawlspark.llm.fingerprints import Sequence, mix, word_items
 from crawlspark.llm.mixing import words
-from crawlspark.llm.shared import arrow_rows, attach, kept
+from crawlspark.llm.shared import arrow_rows, attach, bound_batches, kept
 
 LEAST, ERRORS, SHORTEST = 13, 2, 8
 BLOCK_WORDS = 500_000
-PIECE = 1 << 17
+PIECE = 1 << 14
 _CUTS = np.linspace(0, LEAST, 5).round().astype(int)
 _MASKS = list(combinations(range(4), 2))
 _BITS = 22
@@ -124,10 +124,11 @@ class Items:
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """`doc_id`, `n_items`, `n_words` (words that agree, summed over items), `items` per document with an overlap."""
+    bound_batches(documents.sparkSession)
     items = kept(benchmark.where("text is not null and item_id is not null").groupBy("text").agg(
         F.min("item_id").cast("bigint").alias("item_id")).withColumn("words", words(F.col("text"))))
     total = items.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()["words"]
-    # Blocks are cut where the running number of words fills them, so each is bounded but for one item.
+    # Items are dealt to blocks by a hash of their id.
     blocks = max(1, -(-total // block_words))
     texts = documents.selectExpr("cast(doc_id as bigint) as doc_id", "text").where("doc_id is not null")
     found = None

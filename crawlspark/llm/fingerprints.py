@@ -58,7 +58,7 @@ def word_bounds(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def word_items(codes: np.ndarray, family: int) -> np.ndarray:
     """A 64-bit fingerprint of every word of a text."""
     starts, ends = word_bounds(codes)
-    piece, found = 1 << 20, []
+    piece, found = 1 << 16, []
     # Words are hashed in pieces, so that a very long text needs no arrays of its own length.
     first = 0
     while first < len(starts):

@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import arrow_rows
+from crawlspark.llm.shared import arrow_rows, bound_batches
 
 BUCKETS = 8192
 DIMENSIONS = 16
 ORDERS = (2, 3, 4)
-PIECE = 1 << 19
+PIECE = 1 << 16
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -137,6 +137,7 @@ def train(documents: DataFrame, per_language: int = 400, most_languages: int = 2
     sampled rows only: at most `most_languages` x `per_language` x 8192 numbers,
     those of the most frequent languages.
     """
+    bound_batches(documents.sparkSession)
     labelled = documents.where("text is not null and lang is not null").where(~held_out(documents))
     sizes = (labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect())
     languages = sorted(row["lang"] for row in sizes)
@@ -168,6 +169,7 @@ def train(documents: DataFrame, per_language: int = 400, most_languages: int = 2
 
 def identify(documents: DataFrame, model: LanguageModel | None = None) -> DataFrame:
     """`doc_id`, `held_out`, `lang_pred`, `score`, `rejected` per row, from the text alone."""
+    bound_batches(documents.sparkSession)
     model = model or train(documents)
 
     def work(rows):
@@ -183,11 +185,12 @@ def identify(documents: DataFrame, model: LanguageModel | None = None) -> DataFr
 
 def keep_identified(documents: DataFrame, model: LanguageModel | None = None) -> DataFrame:
     """The rows of `documents` whose language is not rejected, with all their columns."""
+    bound_batches(documents.sparkSession)
     model = model or train(documents)
 
     def rejects(batches):
         for batch in batches:
-            texts = batch.column(0).cast(pa.binary()).to_pylist()
+            texts = (text.as_py() for text in batch.column(0).cast(pa.binary()))
             yield batch.filter(pa.array([not model.predict(data)[2] for data in texts], pa.bool_()))
 
     order = ["text", *[name for name in documents.columns if name != "text"]]

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from crawlspark.llm.fingerprints import Sequence, mix, word_items
 from crawlspark.llm.repeats import STRETCH, shared_stretches
-from crawlspark.llm.shared import arrow_rows, attach, components, kept
+from crawlspark.llm.shared import arrow_rows, attach, bound_batches, components, kept
 from crawlspark.llm.suffixes import document_rows, gathered
 from crawlspark.operators.joins import skew_safe_join
 
@@ -222,7 +222,7 @@ def similar_in_blocks(blocks: DataFrame, sets: DataFrame, percent: int) -> DataF
 def shingle_sets(documents: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     def work(rows):
         for doc_id, data in rows:
-            yield doc_id, shingle_set(data, shingle).view(np.int64).tolist()
+            yield doc_id, shingle_set(data, shingle).view(np.int64)
 
     schema = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
     texts = documents.selectExpr("cast(doc_id as bigint) as id", "text")
@@ -259,6 +259,7 @@ def head_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id` (smallest doc_id reachable by links), `kept` per row."""
+    bound_batches(documents.sparkSession)
     profile = kept(profiles(documents, shingle))
     classes = kept(profile.where("n_shingles > 0 and doc_id is not null").groupBy("f1", "f2").agg(
         F.min("doc_id").alias("id"), F.min("signature").alias("signature")))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import arrow_rows
+from crawlspark.llm.shared import arrow_rows, bound_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
@@ -293,6 +293,7 @@ def joined(spans) -> str:
 
 def find_personal_data(documents: DataFrame, crf: Crf | None = None) -> DataFrame:
     """`doc_id`, counts and digest of the base spans, and all `spans` as text, per row."""
+    bound_batches(documents.sparkSession)
     crf = crf or train()
 
     def work(rows):
@@ -322,12 +323,13 @@ def mask_personal_data(documents: DataFrame, crf: Crf | None = None) -> DataFram
 
     `n_chars`, where present, is that of the masked text.
     """
+    bound_batches(documents.sparkSession)
     crf = crf or train()
 
     def mask(batches):
         for batch in batches:
             out = []
-            for data in batch.column(0).cast(pa.binary()).to_pylist():
+            for data in (text.as_py() for text in batch.column(0).cast(pa.binary())):
                 if data is None:
                     out.append(None)
                     continue

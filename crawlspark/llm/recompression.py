@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from crawlspark.llm.fingerprints import Sequence, mix, window_minima, word_bounds, word_items
 from crawlspark.llm.repeats import decided, merged_runs, with_lists
-from crawlspark.llm.shared import arrow_rows
+from crawlspark.llm.shared import arrow_rows, bound_batches
 from crawlspark.llm.suffixes import document_rows, gathered
 
 CAPS = (2, 4)
@@ -155,6 +155,7 @@ def later_windows(documents: DataFrame, width: int = 50) -> DataFrame:
 
 def remove_later(documents: DataFrame, width: int = 50) -> DataFrame:
     """`doc_id`, `n_words`, `n_removed`, `kept_sha256`, `removed` per row; `removed` lists runs as start:end in words."""
+    bound_batches(documents.sparkSession)
     texts = documents.selectExpr("cast(doc_id as bigint) as doc_id", "text")
 
     def work(rows):

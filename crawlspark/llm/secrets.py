@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from crawlspark.llm.shared import arrow_rows
+from crawlspark.llm.shared import arrow_rows, bound_batches
 
 # The patterns of the base kinds and their least lengths.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
@@ -107,6 +107,7 @@ def joined(spans) -> str:
 
 def find_secrets(documents: DataFrame) -> DataFrame:
     """`doc_id`, counts and digest of the base spans, and all `spans` as text, per row."""
+    bound_batches(documents.sparkSession)
 
     def work(rows):
         words = automaton()

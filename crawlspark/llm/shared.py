@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from crawlspark.operators.joins import skew_safe_join
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+BATCH_ROWS, BATCH_BYTES = 2000, 8 * 1024 * 1024
+SLICE_BYTES = 2 * 1024 * 1024
 # Fixed value: the blanks that end a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -50,11 +52,25 @@ def attach(left: DataFrame, lookup: DataFrame, on: list[str], size: Column, how:
     return skew_safe_join(left, lookup, on, how)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's bounds on Arrow batches to `BATCH_ROWS` rows and `BATCH_BYTES` bytes; never raises them.
+
+    A batch is held by the executor and by its Python worker, and the executor keeps the memory.
+    The settings stay, as plans read them when they run.
+    """
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        setting = f"spark.sql.execution.arrow.{name}"
+        own = spark.conf.get(setting).lower().removesuffix("b")
+        # Zero and less stand for no bound; a value with a unit is left alone.
+        if own.lstrip("-").isdigit() and not 0 < int(own) <= most:
+            spark.conf.set(setting, str(most))
+
+
 def arrow_rows(work: Callable, schema: pa.Schema, flush_rows: int = 20_000) -> Callable:
     """A `mapInArrow` function from `work`, which turns the Python rows of a batch into output rows (tuples).
 
-    Text columns arrive as UTF-8 bytes. `work(rows)` is a generator, so that
-    results leave in bounded batches.
+    Text columns arrive as UTF-8 bytes. Rows become Python objects a few megabytes at a time, and
+    `work(rows)` is a generator, so that results leave in bounded batches.
     """
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,8 +78,9 @@ def arrow_rows(work: Callable, schema: pa.Schema, flush_rows: int = 20_000) -> C
             for batch in source:
                 columns = [column.cast(pa.binary()) if pa.types.is_string(column.type) else column
                            for column in batch.columns]
-                for start in range(0, batch.num_rows, 256):
-                    yield from zip(*[column.slice(start, 256).to_pylist() for column in columns])
+                step = slice_rows(batch)
+                for start in range(0, batch.num_rows, step):
+                    yield from zip(*[column.slice(start, step).to_pylist() for column in columns])
 
         out = []
         for row in work(rows()):
@@ -77,6 +94,11 @@ def arrow_rows(work: Callable, schema: pa.Schema, flush_rows: int = 20_000) -> C
     return batches
 
 
+def slice_rows(batch: pa.RecordBatch) -> int:
+    """How many rows of a batch to turn into Python objects at once."""
+    return max(1, min(256, SLICE_BYTES * batch.num_rows // max(1, batch.nbytes)))
+
+
 def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows))
     return pa.RecordBatch.from_arrays(

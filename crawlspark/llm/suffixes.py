@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from crawlspark.llm.fingerprints import Sequence, byte_items, window_minima
 from crawlspark.llm.repeats import STRETCH_SCHEMA, decided, merged_runs, with_lists
-from crawlspark.llm.shared import arrow_rows
+from crawlspark.llm.shared import arrow_rows, bound_batches, slice_rows
 
 GRAM = 32
 PIECE = 1 << 18
@@ -87,8 +87,9 @@ def document_rows(batches):
     """(doc_id, text as bytes, further columns) of Arrow batches."""
     for batch in batches:
         columns = [batch.column(0), batch.column(1).cast(pa.binary()), *batch.columns[2:]]
-        for start in range(0, batch.num_rows, 256):
-            yield from zip(*[column.slice(start, 256).to_pylist() for column in columns])
+        step = slice_rows(batch)
+        for start in range(0, batch.num_rows, step):
+            yield from zip(*[column.slice(start, step).to_pylist() for column in columns])
 
 
 def _level(width: int):
@@ -125,6 +126,7 @@ def remove_repeats(documents: DataFrame, width: int = 400) -> DataFrame:
 
     `removed` lists the maximal removed runs as start:end in bytes.
     """
+    bound_batches(documents.sparkSession)
     texts = documents.selectExpr("cast(doc_id as bigint) as doc_id", "text")
 
     def work(rows):
