@@ -3,8 +3,12 @@
 A text's subwords are the byte 2-, 3- and 4-grams of its lower-cased letters (blanks mark word
 ends); each is hashed to a bucket with a small embedding. The mean embedding goes into a
 linear softmax. Both are trained together by stochastic gradient descent in numpy from
-a bounded sample of labelled rows. The softmax temperature and the rejection bound are
-set on a part of the sample kept out of training.
+a bounded sample of labelled rows.
+
+Two signals reject a text: a low softmax score, and subwords that are rare in every learned language (`rarity`),
+as a softmax is sure of texts unlike all it learned, too. The temperature and both bounds come from sampled
+rows, each scored without having been learned from. Fewer than `CALIBRATED` such rows set no bound.
+Languages beyond the `most_languages` most frequent ones are not learned, so their texts are rejected.
 
 Texts that are null or hold no letter get `und` with score 0 and are rejected; if no row is
 labelled, every text is `und`. Equally likely languages go to the first in name order.
@@ -25,6 +29,10 @@ BUCKETS = 8192
 DIMENSIONS = 16
 ORDERS = (2, 3, 4)
 PIECE = 1 << 16
+FOLDS = 5
+CALIBRATED = 20
+#: Subwords as usual as the language's own that every text counts as having besides its own: short texts show little.
+USUAL = 50
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -58,11 +66,13 @@ def subword_counts(data: bytes) -> np.ndarray:
 
 
 class LanguageModel:
-    """Trained weights: `table` gives each bucket's share of every language's score."""
+    """Trained weights: `table` gives each bucket's share of every language's score, `excess` its rarity there in bits."""
 
-    def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray, temperature: float, least: float):
+    def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray, temperature: float, least: float,
+                 excess: np.ndarray | None = None, most: float = np.inf):
         self.languages, self.table, self.bias = languages, table, bias
         self.temperature, self.least = temperature, least
+        self.excess, self.most = np.zeros_like(table) if excess is None else excess, most
 
     def predict(self, data: bytes | None) -> tuple[str, float, bool]:
         """Language, calibrated probability, and whether the text is rejected."""
@@ -74,7 +84,8 @@ class LanguageModel:
         scores = np.exp((scores - scores.max()) / self.temperature)
         best = int(scores.argmax())
         score = float(scores[best] / scores.sum())
-        return self.languages[best], score, score < self.least
+        rarity = float((counts[used] @ self.excess[used]).min() / (counts.sum() + USUAL))
+        return self.languages[best], score, score < self.least or rarity > self.most
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -82,18 +93,9 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return scores / scores.sum(axis=1, keepdims=True)
 
 
-def fit(counts: np.ndarray, labels: np.ndarray, languages: list[str], epochs: int = 12, rate: float = 2.0,
-        reject: float = 0.001, seed: int = 7) -> LanguageModel:
-    """Trains on four fifths of the rows, calibrates on the rest.
-
-    `reject` is the share of calibration rows, scored by their own language, that
-    may fall below the rejection bound.
-    """
-    rng = np.random.default_rng(seed)
-    shares = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
-    order = rng.permutation(len(labels))
-    held, used = order[:len(order) // 5], order[len(order) // 5:]
-    classes = len(languages)
+def _descend(shares: np.ndarray, labels: np.ndarray, used: np.ndarray, classes: int, epochs: int, rate: float,
+             rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Table and bias learned from the rows `used`."""
     embed = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     weight, bias = rng.normal(0, 0.1, (DIMENSIONS, classes)), np.zeros(classes)
     # Rare languages weigh as much as frequent ones.
@@ -113,16 +115,68 @@ def fit(counts: np.ndarray, labels: np.ndarray, languages: list[str], epochs: in
             buckets = np.flatnonzero(inputs.any(axis=0))
             # Bucket shares are small: the embeddings take larger steps.
             embed[buckets] -= step * 50 * (inputs[:, buckets].T @ to_hidden)
-    table = embed @ weight
-    held = held if len(held) else used
-    scores, gold = shares[held] @ table + bias, labels[held]
+    return embed @ weight, bias
+
+
+def _rarity(counts: np.ndarray, shares: np.ndarray, labels: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bits by which each bucket is rarer than usual in each language, and the rarity of each row.
+
+    A bucket's frequency is the mean of its shares in the language's texts, with one even text more.
+    Each row is measured without its own share.
+    """
+    sums = np.full((BUCKETS, classes), 1 / BUCKETS)
+    for label in range(classes):
+        sums[:, label] += shares[labels == label].sum(axis=0, dtype=np.float64)
+    texts = np.bincount(labels, minlength=classes) + 1.0
+    rows = []
+    for row, label in enumerate(labels):
+        used = np.flatnonzero(counts[row])
+        own, others = sums[used].copy(), texts.copy()
+        own[:, label] = np.maximum(1 / BUCKETS, own[:, label] - shares[row, used])
+        others[label] -= 1
+        rows.append((counts[row, used] @ -np.log2(own / others), counts[row].sum()))
+    bits, sizes = np.array([row[0] for row in rows]), np.array([row[1] for row in rows])
+    means = bits[np.arange(len(labels)), labels] / np.maximum(1, sizes)
+    filled = [(labels == label) & (sizes > 0) for label in range(classes)]
+    usual = np.array([means[some].mean() if some.any() else np.log2(BUCKETS) for some in filled])
+    return -np.log2(sums / texts) - usual, ((bits - sizes[:, None] * usual) / (sizes[:, None] + USUAL)).min(axis=1)
+
+
+def fit(counts: np.ndarray, labels: np.ndarray, languages: list[str], epochs: int = 12, rate: float = 2.0,
+        reject: float = 0.001, seed: int = 7) -> LanguageModel:
+    """Trains on four fifths of the rows; every fifth in turn is scored by what the rest teaches, to calibrate on all rows.
+
+    `reject` is the share of calibration rows that may fall outside either
+    bound; scores count for rows whose own language leads. Of fewer than 1 / `reject` rows none does.
+    """
+    rng = np.random.default_rng(seed)
+    shares = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
+    order = rng.permutation(len(labels))
+    classes, fold = len(languages), len(order) // FOLDS
+    model, scores, gold = None, [], []
+    for place in range(FOLDS if fold else 1):
+        low, high = place * fold, len(order) if place == FOLDS - 1 else (place + 1) * fold
+        held, used = order[low:high], np.r_[order[:low], order[high:]] if fold else order
+        table, bias = _descend(shares, labels, used, classes, epochs, rate, rng)
+        # The model is that of the first fifth.
+        model = model or (table, bias)
+        held = held if fold else used
+        scores.append(shares[held] @ table + bias)
+        gold.append(labels[held])
+    table, bias = model
+    scores, gold = np.concatenate(scores), np.concatenate(gold)
     tried = np.geomspace(0.02, 4, 60)
-    losses = [-np.log(np.maximum(1e-12, _softmax(scores / t)[np.arange(len(gold)), gold])).mean() for t in tried]
+    # Platt's targets: rows that are all told apart do not make the softmax sure without bound.
+    target = np.full(scores.shape, 1 / (len(gold) + 2) / max(1, classes - 1))
+    target[np.arange(len(gold)), gold] = (len(gold) + 1) / (len(gold) + 2)
+    losses = [-(target * np.log(np.maximum(1e-12, _softmax(scores / t)))).sum(axis=1).mean() for t in tried]
     temperature = float(tried[int(np.argmin(losses))])
     sure = _softmax(scores / temperature)
     own = sure.max(axis=1)[sure.argmax(axis=1) == gold]
-    least = float(min(np.quantile(own, reject), 1.2 / classes)) if len(own) else 0.0
-    return LanguageModel(languages, table.astype(np.float32), bias, temperature, least)
+    least = float(np.quantile(own, reject, method="lower")) if len(own) >= CALIBRATED else 0.0
+    excess, rarity = _rarity(counts, shares, labels, classes)
+    most = float(np.quantile(rarity, 1 - reject, method="higher")) if len(rarity) >= CALIBRATED else np.inf
+    return LanguageModel(languages, table.astype(np.float32), bias, temperature, least, excess.astype(np.float32), most)
 
 
 def held_out(documents: DataFrame) -> Column:

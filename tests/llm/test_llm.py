@@ -76,6 +76,21 @@ def test_languages_are_right_on_documents_kept_out_of_training(spark):
     assert np.mean([row.lang == row.lang_pred for row in found]) > 0.97
 
 
+def test_texts_in_no_learned_language_are_rejected(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet").where("text is not null and lang is not null")
+    for left_out in ("de", "fr"):
+        model = langid.train(documents.where(f"lang <> '{left_out}'"))
+        found = documents.where(f"lang = '{left_out}'")
+        rejected = [row.rejected for row in langid.identify(found, model).collect()]
+        assert np.mean(rejected) > 0.9
+        for text in ("x" * 900, "qwrt zxcvb plmk qqq " * 20, "Ο σκύλος τρέχει στο πάρκο και κοιτάζει τη γάτα."):
+            assert model.predict(text.encode())[2]
+    rows = langid.identify(documents).where("held_out").collect()
+    assert np.mean([row.rejected for row in rows]) < 0.03
+    kept = langid.keep_identified(documents.where("lang = 'fr'"), langid.train(documents.where("lang <> 'fr'")))
+    assert kept.count() < 0.1 * documents.where("lang = 'fr'").count()
+
+
 def test_subwords_of_long_texts_are_those_of_the_whole(monkeypatch):
     text = ("Grüße, aus München! " * 50).encode()
     whole = langid.subword_counts(text)
