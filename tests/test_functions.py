@@ -1,6 +1,8 @@
 """Hand-computed values for the column functions."""
 
 import hashlib
+import html
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,6 +145,17 @@ def test_all_entities(spark):
         "ééé &lt; x", "plain &eacute;", "none", ""]
 
 
+def test_all_entities_of_html_5(spark):
+    names = sorted(name for name in html5 if name.endswith(";"))
+    whole = " ".join(f"&{name}" for name in names)
+    texts = ["&apos;&hellip;&NotEqualTilde;&CounterClockwiseContourIntegral;", "&#00000039;&#x0000000027;&#39;&#8364;", whole,
+             "&#0;&#x110000;&#99999999999999999999;&#x80;&#146;", "&#" + "0" * 40 + "65;&nope; a&b; &; &#; &#x;"]
+    assert apply(spark, decode_all_entities, texts) == [html.unescape(item) for item in texts]
+    # References without a semicolon stay.
+    assert apply(spark, decode_all_entities, ["?a=1&copy=2 &lt x &#65 y", "&&amp;amp;", "&lt;&#38;lt;"]) == [
+        "?a=1&copy=2 &lt x &#65 y", "&&amp;", "<&lt;"]
+
+
 def test_metadata(spark):
     page = ('<html><head><title> A\n title</title><meta charset=utf-8><META name="k" content="1">'
             "<meta content='2 &amp; 3' name='k'><meta property=\"og:x\" content=\"y\"><meta http-equiv=a content=b>"
