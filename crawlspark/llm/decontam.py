@@ -1,6 +1,6 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Words are compared without case and ASCII punctuation. An overlap is a stretch of `LEAST` aligned
+Words are compared without case (Unicode case folding) and ASCII punctuation. An overlap is a stretch of `LEAST` aligned
 words of an item and a document of which at most `ERRORS` differ (substitutions). The stretch is cut
 into four blocks; each of six masks ignores two of them. Two errors touch at most two blocks, so
 some mask hashes alike in every overlap: the join of test and training hashes misses none.
@@ -8,8 +8,9 @@ Each hit is verified by comparing the words along its alignment.
 
 Items are searched in blocks of bounded size, each broadcast as a sorted hash table and joined
 to all documents in one pass; a larger benchmark takes more passes. Items of fewer than
-`LEAST` words, and at least `SHORTEST`, count where all their words occur in a row; shorter items
-and null texts are not looked for.
+`LEAST` words, and at least `SHORTEST`, count where they occur as a whole with at most one word replaced
+(`ERRORS` scaled to their length): one of their halves is intact there, and is what is looked for.
+Shorter items and null texts are not looked for; text without blanks between words counts as one word.
 
 Null documents overlap nothing. Repeated rows are reported once per row of their doc_id; rows
 without doc_id are not reported. Equal items are reported under their smallest item_id. Empty
@@ -37,17 +38,12 @@ _BITS = 22
 _FOLD = np.full(256, 32, np.uint8)
 for _codes in (range(48, 58), range(97, 123), range(128, 256)):
     _FOLD[list(_codes)] = list(_codes)
-_FOLD[65:91] = range(97, 123)
 
 
 def folded_words(data: bytes | None) -> np.ndarray:
     """Fingerprints of a text's words without case and ASCII punctuation."""
-    codes = np.frombuffer(data or b"", np.uint8)
-    folded = _FOLD[codes]
-    # Capital Latin-1 letters, two bytes in UTF-8.
-    capital = np.flatnonzero((codes[:-1] == 0xC3) & (codes[1:] >= 0x80) & (codes[1:] <= 0x9E) & (codes[1:] != 0x97)) + 1
-    folded[capital] += 32
-    return word_items(folded, 0)
+    folded = (data or b"").decode("utf-8", "replace").casefold().encode()
+    return word_items(_FOLD[np.frombuffer(folded, np.uint8)], 0)
 
 
 def masked_hashes(items: np.ndarray) -> np.ndarray:
@@ -73,8 +69,10 @@ class Items:
                 owners.append(np.full(own.size, owner))
                 places.append(np.tile(np.arange(own.shape[1]), len(_MASKS)))
             elif len(items) >= SHORTEST:
-                whole = Sequence(items, 0).hashes(np.array([0]), np.array([len(items)]))[0]
-                self.short.setdefault(len(items), {}).setdefault(int(whole), []).append(owner)
+                half = len(items) // 2
+                cuts = Sequence(items, 0).hashes(np.array([0, half]), np.array([half, len(items)]))
+                for start, value in zip((0, half), cuts.tolist()):
+                    self.short.setdefault((len(items), start), {}).setdefault(value, []).append(owner)
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         self.hashes, self.owners, self.places = join(hashes, np.uint64), join(owners, np.int64), join(places, np.int64)
         order = np.argsort(self.hashes, kind="stable")
@@ -103,11 +101,16 @@ class Items:
                 if (owner, shift) not in tried:
                     tried.add((owner, shift))
                     self._verify(items, owner, shift, found)
-        for length, known in self.short.items():
-            starts = np.arange(max(0, min(high, len(items)) - low - length + 1))
-            for value in Sequence(items[low:high], 0).hashes(starts, starts + length).tolist():
+        sequence = Sequence(items[low:high], 0)
+        for (length, cut), known in self.short.items():
+            half = length // 2
+            starts = np.arange(max(0, high - low - length + 1))
+            first, last = starts + cut, starts + (length if cut else half)
+            for start, value in enumerate(sequence.hashes(first, last).tolist()):
                 for owner in known.get(value, ()):
-                    found[owner] = np.ones(length, bool)
+                    agree = self.words[owner] == items[low + start:low + start + length]
+                    if length - agree.sum() <= ERRORS * length // LEAST:
+                        found[owner] = found.get(owner, np.zeros(length, bool)) | agree
 
     def _verify(self, items: np.ndarray, owner: int, shift: int, found: dict[int, np.ndarray]) -> None:
         own = self.words[owner]

@@ -264,6 +264,21 @@ def test_overlaps_survive_substitutions(spark, docs):
     assert decontam.contaminated(docs, benchmark.limit(0)).collect() == []
 
 
+def test_short_items_survive_a_substitution_and_case_of_any_script(spark):
+    words = [f"q{n}" for n in range(40)]
+    greek = "Ο ΣΚΎΛΟΣ ΤΡΈΧΕΙ ΣΤΟ ΠΆΡΚΟ ΚΑΙ ΚΟΙΤΆΖΕΙ ΤΗ ΓΆΤΑ ΤΟΥ ΓΕΊΤΟΝΑ ΜΕ ΧΑΡΆ"
+    items = [(n, " ".join(words[3:3 + n])) for n in range(8, 13)] + [(20, greek)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    for gone in range(3, 15):
+        found = decontam.Items([(n, text.encode()) for n, text in items]).overlaps(
+            " ".join("other" if n == gone else word for n, word in enumerate(words)).encode())
+        assert found == {n - 8: n - (gone < 3 + n) for n in range(8, 13)}
+    twice = " ".join("other" if n in (4, 9) else word for n, word in enumerate(words))
+    docs = spark.createDataFrame([(1, greek.lower()), (2, twice), (3, " ".join(words))], "doc_id bigint, text string")
+    rows = {row.doc_id: row["items"] for row in decontam.contaminated(docs, benchmark).collect()}
+    assert rows == {1: "20", 3: "8,9,10,11,12"}
+
+
 def test_vectors(spark, monkeypatch):
     rng = np.random.default_rng(4)
     centers = rng.normal(size=(5, 16))
