@@ -7,7 +7,8 @@ some mask hashes alike in every overlap: the join of test and training hashes mi
 Each hit is verified by comparing the words along its alignment.
 
 Items are searched in blocks of bounded size, each broadcast as a sorted hash table and joined
-to all documents in one pass; a larger benchmark takes more passes. Items of fewer than
+to all documents in one pass; a larger benchmark takes more passes. A block's hits are written and its
+broadcast is released before the next, so the driver holds one block at a time; an item is not split. Items of fewer than
 `LEAST` words, and at least `SHORTEST`, count where they occur as a whole with at most one word replaced
 (`ERRORS` scaled to their length): one of their halves is intact there, and is what is looked for.
 Shorter items and null texts are not looked for; text without blanks between words counts as one word.
@@ -148,6 +149,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, block_words: int =
 
         schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_words", pa.int64())])
         part = texts.mapInArrow(arrow_rows(work, schema), "doc_id bigint, item_id bigint, n_words bigint")
+        if blocks > 1:
+            part = kept(part)
+            table.destroy()
         found = part if found is None else found.union(part)
     per_item = found.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"))
     return per_item.groupBy("doc_id").agg(

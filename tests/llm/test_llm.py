@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import re
 import zlib
 from collections import defaultdict
@@ -279,6 +280,22 @@ def test_short_items_survive_a_substitution_and_case_of_any_script(spark):
     assert rows == {1: "20", 3: "8,9,10,11,12"}
 
 
+def test_one_block_of_the_benchmark_is_held_at_a_time(spark, docs, monkeypatch):
+    context, made = spark.sparkContext, []
+    original = context.broadcast
+
+    def broadcast(value):
+        assert not any(os.path.exists(path) for path in made)
+        table = original(value)
+        made.append(table._path)
+        return table
+
+    monkeypatch.setattr(context, "broadcast", broadcast)
+    items = [(n, " ".join(PASSAGE.split()[n:n + 20])) for n in range(6)]
+    found = decontam.contaminated(docs, spark.createDataFrame(items, "item_id bigint, text string"), 40)
+    assert len(made) == 3 and {row.doc_id: row.n_items for row in found.collect()} == {7: 6, 8: 6, 9: 6}
+
+
 def test_vectors(spark, monkeypatch):
     rng = np.random.default_rng(4)
     centers = rng.normal(size=(5, 16))
