@@ -7,13 +7,13 @@ that differ. It is split into 14 chunks, and every chunk is listed once for each
 components, that one left out: chunks with at most one error meet. By the pigeonhole
 principle every pair at a distance up to 27 meets (14 x 2 = 28 errors are needed to avoid it).
 At similarity 0.8 a distance over 27 has a chance of about 10^-5; such pairs
-still mostly meet.
+still mostly meet, and what met is compared up to a distance of 34, which is exceeded with a chance of about 10^-9.
 
 Only connections are asked for, so pairs already connected are not compared:
 1. every class is compared with the bucket head it meets most often;
 2. classes still apart from others in their buckets are compared with the nearest of those, twice;
-3. all bucket mates that are still apart and at a distance up to 27 are compared, block by block.
-After step 3 no pair that meets is left unchecked. Comparison is on full shingle sets.
+3. all bucket mates that are still apart and at a distance up to 34 are compared, block by block.
+After step 3 no pair that meets at such a distance is left unchecked. Comparison is on full shingle sets.
 A bucket is dealt out in blocks of at most `BLOCK` classes a side, so that the size of a group
 bounds no task. A family of many texts that are all alike but not similar enough costs pairs.
 
@@ -35,7 +35,7 @@ from crawlspark.llm.shared import arrow_rows, attach, bound_batches, components,
 from crawlspark.llm.suffixes import document_rows, gathered
 from crawlspark.operators.joins import skew_safe_join
 
-COMPONENTS, CHUNKS, FARTHEST = 64, 14, 27
+COMPONENTS, CHUNKS, FARTHEST = 64, 14, 34
 BLOCK = 2048
 _rng = np.random.default_rng(8)
 _FACTORS = _rng.integers(0, 1 << 63, COMPONENTS, np.uint64) * np.uint64(2) + np.uint64(1)

@@ -265,6 +265,17 @@ def test_overlaps_survive_substitutions(spark, docs):
     assert decontam.contaminated(docs, benchmark.limit(0)).collect() == []
 
 
+def test_pairs_that_met_beyond_the_guaranteed_distance_are_compared(spark):
+    signs = [np.zeros(64, np.uint16), np.arange(64, dtype=np.uint16) * (np.arange(64) >= 33)]
+    assert np.count_nonzero(signs[0] != signs[1]) == 31
+    classes = spark.createDataFrame([(n, bytearray(sign.tobytes())) for n, sign in enumerate(signs)], "id bigint, signature binary")
+    members = spark.createDataFrame([(1, 0, 1, 0), (1, 0, 0, 0)], "key bigint, slot int, id bigint, head bigint")
+    assert [tuple(row) for row in neardup.head_pairs(members, classes).collect()] == [(1, 0)]
+    none = spark.createDataFrame([], "id bigint, component bigint")
+    assert neardup.apart_pairs(members, classes, none, True).count() > 0
+    assert neardup.apart_pairs(members, classes, none, False).count() > 0
+
+
 def test_short_items_survive_a_substitution_and_case_of_any_script(spark):
     words = [f"q{n}" for n in range(40)]
     greek = "Ο ΣΚΎΛΟΣ ΤΡΈΧΕΙ ΣΤΟ ΠΆΡΚΟ ΚΑΙ ΚΟΙΤΆΖΕΙ ΤΗ ΓΆΤΑ ΤΟΥ ΓΕΊΤΟΝΑ ΜΕ ΧΑΡΆ"
