@@ -176,6 +176,45 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(n_gone, 0)::BIGINT
 FROM documents d LEFT JOIN counted USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
+OP11 = r"""
+WITH doc_word AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents),
+target_word AS (
+    SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+vocabulary AS (
+    SELECT word, hex(encode(word)) AS code FROM (SELECT word FROM doc_word UNION SELECT word FROM target_word)),
+-- CRC-32, a byte at a time, over a table that follows from its polynomial.
+crc_table AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)
+                ORDER BY i) AS steps FROM range(256) t(i)),
+hashed AS (
+    SELECT word, xor(list_reduce(
+        list_transform(range(strlen(code) // 2), lambda i: ('0x' || substr(code, (2 * i + 1)::BIGINT, 2))::BIGINT),
+        lambda c, b: xor(c // 256, steps[xor(c, b) % 256 + 1]), 4294967295), 4294967295) % 10000 AS bucket
+    FROM vocabulary CROSS JOIN crc_table),
+source_count AS (SELECT bucket, count(*)::DOUBLE AS s FROM doc_word JOIN hashed USING (word) GROUP BY bucket),
+target_count AS (SELECT bucket, count(*)::DOUBLE AS t FROM target_word JOIN hashed USING (word) GROUP BY bucket),
+gain AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT count(*) FROM doc_word) + 10000)::DOUBLE
+        / ((s + 1) * ((SELECT count(*) FROM target_word) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM source_count LEFT JOIN target_count USING (bucket)),
+weighed AS (
+    SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS weight
+    FROM doc_word JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+    SELECT doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+        (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT
+            + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+    FROM documents LEFT JOIN weighed USING (doc_id)),
+placed AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
 ORACLE_SQL = {
     "op3_warc_chunks": OP3,
     "op4_cover_tree": OP4,
@@ -183,4 +222,5 @@ ORACLE_SQL = {
     "op8_multi_index_hamming": OP8,
     "op9_suffix_dedup": OP9,
     "op10_recompression_dedup": OP10,
+    "op11_importance_resampling": OP11,
 }

@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlspark.llm import covertree, decontam, langid, mixing, neardup, pii, recompression, secrets, suffixes, warc
+from crawlspark.llm import (covertree, decontam, importance, langid, mixing, neardup, pii, recompression, secrets, suffixes,
+                            warc)
 from crawlspark.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -50,6 +51,11 @@ def op10_recompression_dedup(spark, sf_dir):
     return recompression.remove_later(_table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark, sf_dir):
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {query.__name__: query for query in (
     op1_language_id, op2_personal_data, op3_warc_chunks, op4_cover_tree, op5_spaced_seeds,
-    op6_fair_queue_mix, op7_secret_scan, op8_multi_index_hamming, op9_suffix_dedup, op10_recompression_dedup)}
+    op6_fair_queue_mix, op7_secret_scan, op8_multi_index_hamming, op9_suffix_dedup, op10_recompression_dedup,
+    op11_importance_resampling)}
