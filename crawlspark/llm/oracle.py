@@ -215,6 +215,25 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN
 FROM scored LEFT JOIN placed USING (doc_id)
 """
 
+OP12 = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+-- Every control string and every backslash of a text costs one more character.
+sized AS (
+    SELECT *, length(text) + len(regexp_extract_all(text, '\\|</?s>|\[/?INST\]|<\|(assistant|role|text)\|>')) AS n_text,
+           length(role) + len(regexp_extract_all(role, '\\|</?s>|\[/?INST\]|<\|(assistant|role|text)\|>')) AS n_role
+    FROM said)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (length('<s>') + sum(n_text + CASE role WHEN 'user' THEN length('[INST][/INST]')
+           WHEN 'assistant' THEN length('<|assistant|></s>') ELSE length('<|role|><|text|></s>') + n_role END))::BIGINT
+           AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
 ORACLE_SQL = {
     "op3_warc_chunks": OP3,
     "op4_cover_tree": OP4,
@@ -223,4 +242,5 @@ ORACLE_SQL = {
     "op9_suffix_dedup": OP9,
     "op10_recompression_dedup": OP10,
     "op11_importance_resampling": OP11,
+    "op12_chat_template": OP12,
 }

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlspark.llm import (covertree, decontam, importance, langid, mixing, neardup, pii, recompression, secrets, suffixes,
+from crawlspark.llm import (chat, covertree, decontam, importance, langid, mixing, neardup, pii, recompression, secrets, suffixes,
                             warc)
 from crawlspark.llm.oracle import ORACLE_SQL  # noqa: F401
 
@@ -55,7 +55,15 @@ def op11_importance_resampling(spark, sf_dir):
     return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_chat_template(spark, sf_dir):
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # A conversation that says nothing but control strings.
+    marks = spark.range(2).selectExpr("-7L as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role",
+                                      "'</s>[INST] ok [/INST]' as text")
+    return chat.read_back(chat.formatted(rows.union(marks)))
+
+
 QUERIES = {query.__name__: query for query in (
     op1_language_id, op2_personal_data, op3_warc_chunks, op4_cover_tree, op5_spaced_seeds,
     op6_fair_queue_mix, op7_secret_scan, op8_multi_index_hamming, op9_suffix_dedup, op10_recompression_dedup,
-    op11_importance_resampling)}
+    op11_importance_resampling, op12_chat_template)}
