@@ -176,7 +176,19 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(n_gone, 0)::BIGINT
 FROM documents d LEFT JOIN counted USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
-OP11 = r"""
+# CRC-32 of the bytes of a hexadecimal text, over a table that follows from its polynomial.
+CRC_TABLE = """crc_table AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)
+                ORDER BY i) AS steps FROM range(256) t(i))"""
+
+
+def crc32(code: str) -> str:
+    return f"""xor(list_reduce(
+        list_transform(range(strlen({code}) // 2), lambda i: ('0x' || substr({code}, (2 * i + 1)::BIGINT, 2))::BIGINT),
+        lambda c, b: xor(c // 256, steps[xor(c, b) % 256 + 1]), 4294967295), 4294967295)"""
+
+
+OP11 = rf"""
 WITH doc_word AS (
     SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents),
@@ -185,15 +197,8 @@ target_word AS (
         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
 vocabulary AS (
     SELECT word, hex(encode(word)) AS code FROM (SELECT word FROM doc_word UNION SELECT word FROM target_word)),
--- CRC-32, a byte at a time, over a table that follows from its polynomial.
-crc_table AS (
-    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)
-                ORDER BY i) AS steps FROM range(256) t(i)),
-hashed AS (
-    SELECT word, xor(list_reduce(
-        list_transform(range(strlen(code) // 2), lambda i: ('0x' || substr(code, (2 * i + 1)::BIGINT, 2))::BIGINT),
-        lambda c, b: xor(c // 256, steps[xor(c, b) % 256 + 1]), 4294967295), 4294967295) % 10000 AS bucket
-    FROM vocabulary CROSS JOIN crc_table),
+{CRC_TABLE},
+hashed AS (SELECT word, {crc32("code")} % 10000 AS bucket FROM vocabulary CROSS JOIN crc_table),
 source_count AS (SELECT bucket, count(*)::DOUBLE AS s FROM doc_word JOIN hashed USING (word) GROUP BY bucket),
 target_count AS (SELECT bucket, count(*)::DOUBLE AS t FROM target_word JOIN hashed USING (word) GROUP BY bucket),
 gain AS (
@@ -234,6 +239,72 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+# A row at a time: the least (cost, audit) of every state, from those after the row before.
+OP13 = rf"""
+WITH RECURSIVE {CRC_TABLE},
+original AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS code FROM conversations),
+chosen AS (SELECT *, {crc32("code")} % 20 AS way FROM original CROSS JOIN crc_table),
+damaged AS (
+    SELECT conv_id, turn, CASE way WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE way WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE way WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM chosen WHERE way <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+seen AS (
+    SELECT *, substr(role, 1, 1) AS initial, regexp_matches(text, '^[ 	-]*$') AS is_blank,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+           NOT regexp_matches(text, '[.!?][ 	-]*$') AS cut,
+           lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS earlier
+    FROM placed),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (is_blank) AS blank, count(*) FILTER (again AND NOT is_blank) AS duplicate,
+           count(*) FILTER (cut AND NOT again AND NOT is_blank) AS truncated,
+           count(*) FILTER (earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM seen GROUP BY conv_id),
+steps(initial, p, q) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+-- What insertions alone can do.
+inserted(p, q, cost, audit) AS (
+    VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 3, 'I'), (1, 2, 3, 'I'), (3, 2, 3, 'I'),
+           (2, 3, 3, 'I'), (0, 3, 6, 'II'), (1, 3, 6, 'II')),
+edits AS (
+    SELECT conv_id, i, p, q, CASE WHEN cut THEN 3 ELSE 0 END AS cost, 'K' AS edit
+    FROM seen JOIN steps USING (initial) WHERE NOT is_blank AND NOT again
+    UNION ALL SELECT conv_id, i, p, q, CASE WHEN cut THEN 6 ELSE 3 END, 'R'
+    FROM seen JOIN steps s ON s.initial IN ('u', 'a') WHERE NOT is_blank AND NOT again
+    UNION ALL SELECT conv_id, i, p, p, 4, 'D' FROM seen CROSS JOIN range(4) t(p)),
+cells(conv_id, i, q, least) AS (
+    SELECT DISTINCT conv_id, 0::BIGINT, 0::BIGINT, {{'cost': 0::BIGINT, 'audit': ''}} FROM seen
+    UNION ALL
+    SELECT c.conv_id, e.i, e.q, min({{'cost': c.least.cost + n.cost + e.cost, 'audit': c.least.audit || n.audit || e.edit}})
+    FROM cells c JOIN inserted n ON n.p = c.q
+    JOIN edits e ON e.conv_id IS NOT DISTINCT FROM c.conv_id AND e.i = c.i + 1 AND e.p = n.q
+    GROUP BY c.conv_id, e.i, e.q),
+best AS (
+    SELECT c.conv_id, min({{'cost': c.least.cost + n.cost, 'audit': c.least.audit || n.audit}}) AS least
+    FROM cells c JOIN (SELECT conv_id, max(i) AS i FROM seen GROUP BY conv_id) l
+      ON l.conv_id IS NOT DISTINCT FROM c.conv_id AND l.i = c.i
+    JOIN inserted n ON n.p = c.q AND n.q IN (0, 3) GROUP BY c.conv_id),
+letters AS (
+    SELECT conv_id, least.audit[k] AS edit, k, len(replace(least.audit, 'D', '')) AS length,
+           len(replace(least.audit[1:k], 'I', '')) AS i, len(replace(least.audit[1:k], 'D', '')) AS place
+    FROM (SELECT *, unnest(range(1, len(least.audit) + 1)) AS k FROM best)),
+lines AS (
+    SELECT l.conv_id, place, CASE WHEN edit = 'K' THEN role WHEN (place - 1 - length % 2) % 2 = 0 THEN 'user' ELSE 'assistant' END
+           || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END AS line
+    FROM letters l LEFT JOIN seen s ON s.conv_id IS NOT DISTINCT FROM l.conv_id AND s.i = l.i WHERE edit <> 'D'),
+hashed AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY place) AS whole FROM lines GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(least.cost, 0) AS cost,
+       coalesce(least.audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counted n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN hashed h ON h.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 ORACLE_SQL = {
     "op3_warc_chunks": OP3,
     "op4_cover_tree": OP4,
@@ -243,4 +314,5 @@ ORACLE_SQL = {
     "op10_recompression_dedup": OP10,
     "op11_importance_resampling": OP11,
     "op12_chat_template": OP12,
+    "op13_interval_repair": OP13,
 }

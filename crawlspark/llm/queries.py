@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlspark.llm import (chat, covertree, decontam, importance, langid, mixing, neardup, pii, recompression, secrets, suffixes,
-                            warc)
+from crawlspark.llm import (chat, covertree, decontam, importance, langid, mixing, neardup, pii, recompression, repair,
+                            secrets, suffixes, warc)
 from crawlspark.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -63,7 +63,12 @@ def op12_chat_template(spark, sf_dir):
     return chat.read_back(chat.formatted(rows.union(marks)))
 
 
+def op13_interval_repair(spark, sf_dir):
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair.repaired(repair.damaged(conversations), conversations)
+
+
 QUERIES = {query.__name__: query for query in (
     op1_language_id, op2_personal_data, op3_warc_chunks, op4_cover_tree, op5_spaced_seeds,
     op6_fair_queue_mix, op7_secret_scan, op8_multi_index_hamming, op9_suffix_dedup, op10_recompression_dedup,
-    op11_importance_resampling, op12_chat_template)}
+    op11_importance_resampling, op12_chat_template, op13_interval_repair)}
