@@ -9,7 +9,7 @@ from crawlspark.functions import filters, state, times
 from crawlspark.functions.entities import decode_all_entities
 from crawlspark.functions.identity import body_text, document_id
 from crawlspark.functions.text import gated_text
-from crawlspark.operators import dedup, metadata, records, relevance, stats
+from crawlspark.operators import dedup, metadata, open_records, records, relevance, stats
 from crawlspark.operators import links as link_ops
 from crawlspark.operators.joins import settled
 from crawlspark.plans import dumps
@@ -90,6 +90,11 @@ def cdr_json_roundtrip(spark, sf):
     return show_dump(dump_of_lines(json_lines(dump)).select(*dump.columns))
 
 
+def cdr_json_roundtrip_linked(spark, sf):
+    dump = dumps.linked_dump(V.content(spark, sf), V.links(spark, sf), V.LABELS, max_inlinks=MAX_INLINKS)
+    return show_dump(dump_of_lines(json_lines(dump)).select(*dump.columns))
+
+
 def cdr_minimal(spark, sf):
     return records.minimal_records(V.content(spark, sf), V.LABELS)
 
@@ -151,6 +156,26 @@ def image_relink(spark, sf):
     return relinked.select("_id", "url", "obj_parent", F.array_join("crawl_data.inlinks", " ").alias("inlinks"))
 
 
+def _extra(path: str, kind: str) -> Column:
+    return F.try_variant_get("doc", f"$.extra.{path}", kind)
+
+
+def relink_open_fields(spark, sf):
+    pages = V.content(spark, sf)
+    dump = dumps.linked_dump(pages, V.links(spark, sf), V.LABELS, how="left", max_inlinks=MAX_INLINKS)
+    documents = open_records.open_documents(V.open_lines(dump.withColumn("path", F.lit("file:///dump/part-00000"))))
+    relinked = open_records.relink_documents(documents, records.latest_times(pages))
+    shown = open_records.document_view(relinked, "_id", "url", "obj_parent", "crawl_data", "n_inlinks")
+    return shown.select(
+        "_id", "url", "obj_parent", F.array_join("crawl_data.inlinks", " ").alias("inlinks"), "n_inlinks",
+        _extra("seen['address of page']", "string").alias("seen"), _extra("sizes[1]", "bigint").alias("n_chars"))
+
+
+def image_relink_chunks(spark, sf):
+    chunks = link_ops.relinked_chunks(V.links(spark, sf), records.latest_times(V.content(spark, sf)), chunk_size=10)
+    return chunks.select("url", "n_inlinks", F.explode("inlink_ids").alias("inlink_id"))
+
+
 # --- deduplication, segments ---
 
 def dedup_index(spark, sf):
@@ -163,6 +188,16 @@ def dedup_apply(spark, sf):
     return dedup.apply_dedup_index(dump, settled(dedup.dedup_index(dump))).select("path", "_id", "url", "raw_content")
 
 
+def dump_open_fields(spark, sf):
+    documents = open_records.open_documents(V.open_lines(V.dump(spark, sf)))
+    typed = open_records.document_view(documents, "_id", "url", "raw_content")
+    kept = open_records.keep_indexed(documents, settled(dedup.dedup_index(typed)))
+    return kept.select(
+        "path", open_records.document_field(F.col("doc"), "_id").alias("_id"),
+        _extra("seen['address of page']", "string").alias("seen"), _extra("sizes[1]", "bigint").alias("n_chars"),
+        F.array_join(open_records.field_names(F.col("doc")), " ").alias("field_names"))
+
+
 def dedup_apply_exact(spark, sf):
     dump = V.dump_with_nulls(spark, sf)
     return dedup.apply_dedup_index(dump, dedup.dedup_index(dump), exact=True).select("path", "_id", "url", "raw_content")
@@ -329,9 +364,9 @@ def bottom_urls(spark, sf):
 QUERIES = {query.__name__: query for query in (
     host_url_counts, crawl_totals, distinct_urls, distinct_hosts,
     cdr_ids, cdr_dump_linked, cdr_dump_linked_left, cdr_dump_expanded, cdr_dump_state_time, cdr_dump_unlinked,
-    cdr_json_roundtrip, cdr_minimal, index_dump, index_dump_left, status_and_retry, fetch_time_text,
-    image_paths, image_ids, image_relink,
-    dedup_index, dedup_apply, dedup_apply_exact, segment_union, segment_merge, dedup_url_text,
+    cdr_json_roundtrip, cdr_json_roundtrip_linked, cdr_minimal, index_dump, index_dump_left, status_and_retry, fetch_time_text,
+    image_paths, image_ids, image_relink, image_relink_chunks, relink_open_fields,
+    dedup_index, dedup_apply, dedup_apply_exact, dump_open_fields, segment_union, segment_merge, dedup_url_text,
     url_list, plain_text, plain_text_all_entities, text_mime_filter, page_filter, parse_gate,
     page_outlinks, link_graph, inlink_sets, inlink_sets_limited, inlink_chunks,
     page_metadata, typed_metadata, field_catalogue,

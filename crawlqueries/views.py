@@ -242,6 +242,14 @@ def dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dump_records(pages, LABELS, carry=["path"])
 
 
+def open_lines(dump: DataFrame) -> DataFrame:
+    """Dumped documents as JSON lines with `path`, carrying nested fields that no schema of the library knows."""
+    extra = F.struct(F.struct(F.col("url").alias("address of page")).alias("seen"),
+                     F.array(F.length("url"), F.length("raw_content")).alias("sizes"))
+    fields = [name for name in dump.columns if name != "path"]
+    return dump.select("path", F.to_json(F.struct(*fields, extra.alias("extra"))).alias("value"))
+
+
 def dump_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dump, and documents without body or URL, each line twice."""
     nations = table(spark, sf_dir, "nation")

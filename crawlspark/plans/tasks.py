@@ -3,8 +3,9 @@
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from crawlspark.operators.dedup import apply_dedup_index, dedup_index
-from crawlspark.operators.records import RunLabels, image_ids, image_paths, latest_times, relink_images
+from crawlspark.operators.dedup import dedup_index
+from crawlspark.operators.open_records import keep_indexed, relink_documents
+from crawlspark.operators.records import RunLabels, image_ids, image_paths, latest_times
 from crawlspark.operators.relevance import page_relevance, ranked
 from crawlspark.operators.stats import crawl_totals, host_counts, ordered_hosts
 from crawlspark.plans import dumps, relevance
@@ -41,14 +42,16 @@ def build_dedup_index(spark: SparkSession, *, output_dir: str, dump_dir: str | N
 
 def deduplicate(spark: SparkSession, *, hash_dir: str, output_dir: str, dump_dir: str | None = None,
                 dump_file: str | None = None, exact: bool = False) -> None:
-    dump = readers.read_dump(spark, dump_dir, dump_file)
+    """The documents the index keeps, with all their fields."""
+    documents = readers.read_open_dump(spark, dump_dir, dump_file)
     index = readers.read_dedup_index(spark, hash_dir)
-    writers.write_parts(apply_dedup_index(dump, index, exact), output_dir)
+    writers.write_document_parts(keep_indexed(documents, index, exact), output_dir)
 
 
 def relink_dumped_images(spark: SparkSession, *, segment_dir: str, dump_dir: str, output_dir: str) -> None:
+    """Image documents with ids for parent and inlinks, and all their other fields."""
     times = latest_times(readers.read_content(spark, segment_dir))
-    writers.write_parts(relink_images(readers.read_dump(spark, dump_dir), times), output_dir)
+    writers.write_document_parts(relink_documents(readers.read_open_dump(spark, dump_dir), times), output_dir)
 
 
 def export_images(spark: SparkSession, *, output_dir: str, by: str = "id", segment_dir: str | None = None,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlspark.fixed_values import KB_DELIMITER
+from crawlspark.operators.open_records import open_documents
 from crawlspark.schemas import CRAWL_CONTENT, CRAWL_DB, CRAWL_LINKS, DEDUP_INDEX, DUMP_RECORD
 
 
@@ -63,24 +64,39 @@ def read_state(spark: SparkSession, crawl_db: str, fmt: str = "parquet") -> Data
     return read_parts(spark, crawl_db, "current", CRAWL_DB, fmt).drop("segment")
 
 
-def read_dump(spark: SparkSession, dump_dir: str | None = None, dump_file: str | None = None) -> DataFrame:
-    """Dumped documents, one JSON object per line, with the `path` of their file. Bad lines raise."""
+def _dump_files(spark: SparkSession, dump_dir: str | None, dump_file: str | None) -> tuple[list[str], dict]:
     if not dump_dir and not dump_file:
         raise ValueError("a dump folder or a dump list file is needed")
     paths = [dump_dir] if dump_dir else read_path_list(spark, dump_file)
-    options = {"recursiveFileLookup": "true"}
-    if dump_dir:
-        options["pathGlobFilter"] = "part-*"
+    return paths, {"recursiveFileLookup": "true"} | ({"pathGlobFilter": "part-*"} if dump_dir else {})
+
+
+def read_dump(spark: SparkSession, dump_dir: str | None = None, dump_file: str | None = None) -> DataFrame:
+    """The typed fields of dumped documents, one JSON object per line, with the `path` of their file. Bad lines raise.
+
+    Other fields of the documents are not read; `read_open_dump` keeps them.
+    """
+    paths, options = _dump_files(spark, dump_dir, dump_file)
     df = _scan(spark, paths, DUMP_RECORD, "json", options)
     return df.select("*", F.col("_metadata.file_path").alias("path"))
 
 
+def read_open_dump(spark: SparkSession, dump_dir: str | None = None, dump_file: str | None = None) -> DataFrame:
+    """`path`, `doc`: dumped documents whole, as VARIANT. Bad lines raise."""
+    paths, options = _dump_files(spark, dump_dir, dump_file)
+    lines = spark.read.options(**options).text(paths)
+    return open_documents(lines.select(F.col("_metadata.file_path").alias("path"), "value"))
+
+
 def read_dedup_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DEDUP_INDEX).parquet(path)
 
 
 def dump_of_lines(lines: DataFrame) -> DataFrame:
-    """Dumped documents from a table of JSON lines in `value`; other columns stay. Bad lines raise."""
+    """The typed fields of dumped documents from a table of JSON lines in `value`; other columns stay. Bad lines raise.
+
+    `open_documents` keeps all fields.
+    """
     others = [name for name in lines.columns if name != "value"]
     record = F.from_json("value", DUMP_RECORD, {"mode": "FAILFAST"}).alias("record")
     return lines.select(*others, record).select(*others, "record.*")

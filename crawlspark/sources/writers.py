@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from crawlspark.functions.identity import plain_path
 from crawlspark.operators.joins import lookup_join
+from crawlspark.operators.open_records import document_lines
 
 
 def json_lines(df: DataFrame, keep_nulls: bool = False) -> DataFrame:
@@ -51,6 +52,13 @@ def write_parts(df: DataFrame, path: str) -> None:
     named.hint("rebalance", "part").write.mode("errorifexists").partitionBy("part").json(path)
 
 
+def write_document_parts(documents: DataFrame, path: str) -> None:
+    """Open documents (`path`, `doc`), whole, in one folder per input part, like `write_parts`."""
+    part = F.regexp_extract(plain_path(F.col("path")), r"([^/]*)$", 1)
+    lines = document_lines(documents.withColumn("part", part).drop("path"))
+    lines.hint("rebalance", "part").write.mode("errorifexists").partitionBy("part").text(path)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Parquet table: merged segments, dedup index, scores, images."""
     df.write.mode("errorifexists").parquet(path)
