@@ -17,20 +17,24 @@ ENTITIES = {
 
 MARKUP_START = (r"(?is)^[\s\x{FEFF}]*<(?:!--|(?:!doctype|\?xml|html|head|title|body|meta|link|script|style|h[1-6]|p|div|span|"
                 r"section|article|main|nav|header|footer|ul|ol|table|form|a)\b)")
-# An unclosed comment or script runs to the end of the page, so no pattern tries again from every later tag.
+# Every pattern takes time in proportion to the page. An unclosed comment or script runs to the end. Where a tag, head or
+# title is not closed, none after it is either: the second alternative takes the rest of the page as it is (group 1), so that
+# it is searched once and not again from every later tag. Quantifiers are possessive wherever nothing is given back.
 COMMENT = r"(?s)<!--.*?(?:-->|\z)"
-HEAD = r"(?is)<head\b[^>]*>.*?</head\s*>"
-CODE_BLOCK = r"(?is)<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\z)"
-TAG = r"(?s)<[^>]+>"
-BLANKS = r"[ \t\r\n]+"
-LINK = (r"(?is)<(?:a|area|link|img|frame|iframe|script)\s(?:[^<>]*?\s)?(?:href|src)\s*=\s*"
+HEAD = r"(?is)<head\b[^>]*+>.*?</head\s*+>|(<head\b.*+)"
+CODE_BLOCK = r"(?is)<(?:script|style)\b[^>]*+>.*?(?:</(?:script|style)\s*+>|\z)|(<(?:script|style)\b.*+)"
+TAG = r"(?s)<[^>]++>|(<[^>]++\z)"
+BLANKS = r"[ \t\r\n]++"
+LINK = (r"(?is)<(?:a|area|link|img|frame|iframe|script)\s(?:[^<>]*?\s)?(?:href|src)\s*+=\s*+"
         r"(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 BASE_LINK = r"(?is)<base\s(?:[^<>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
-SCRIPT_BODY = r"(?is)(<script\b[^>]*>).*?(?:</script\s*>|\z)"
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
+SCRIPT_BODY = r"(?is)(<script\b[^>]*+>).*?(?:</script\s*+>|\z)|(<script\b.*+)"
+# Group 1 with its closing tag, so that an unclosed title (empty group) differs from an empty one.
+TITLE = r"(?is)<title\b[^>]*+>(.*?</title\s*+>)|<title\b.*+"
+TITLE_END = r"(?is)</title\s*+>\z"
 # Fixed value: white space other than the space and the newline.
 OTHER_BLANKS = r"\t\x0B\f\r\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-META = r"(?is)<meta\s[^>]*>"
+META = r"(?is)(<meta\s[^>]*+>)|<meta\s.*+"
 META_NAME = r"(?is)\s(?:name|property|http-equiv)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 META_CONTENT = r"(?is)\scontent\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 META_CHARSET = r"(?is)\scharset\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
@@ -43,19 +47,19 @@ def decode_entities(text: Column) -> Column:
 
 
 def is_markup(body: Column, content_type: Column | None = None) -> Column:
-    """Whether a body is HTML or XML: by its type; only where that is missing, by how the body opens."""
-    opens = F.coalesce(body.rlike(MARKUP_START), F.lit(False))
+    """Whether a body is HTML or XML: by its type (a null type is neither); for callers without types, by how the body opens."""
     if content_type is None:
-        return opens
-    return F.when(F.coalesce(content_type, F.lit("")) == "", opens).otherwise(F.lower(content_type).rlike("html|xml"))
+        return F.coalesce(body.rlike(MARKUP_START), F.lit(False))
+    return F.coalesce(F.lower(content_type).rlike("html|xml"), F.lit(False))
 
 
 def markup_to_text(markup: Column, decode: Callable[[Column], Column] = decode_entities) -> Column:
     """Visible text: no comments, head, scripts, styles or tags; blanks collapsed, entities decoded."""
-    text = markup
-    for pattern in (COMMENT, HEAD, CODE_BLOCK, TAG, BLANKS):
-        text = F.regexp_replace(text, pattern, " ")
-    return decode(F.trim(text))
+    text = F.regexp_replace(markup, COMMENT, " ")
+    for pattern in (HEAD, CODE_BLOCK, TAG):
+        # What was taken as it is ends the page: the blank after it is trimmed below.
+        text = F.regexp_replace(text, pattern, "$1 ")
+    return decode(F.trim(F.regexp_replace(text, BLANKS, " ")))
 
 
 def extract_text(body: Column, decode: Callable[[Column], Column] = decode_entities,
@@ -76,12 +80,15 @@ def _unquote(value: Column) -> Column:
 
 def metadata_pairs(body: Column, content_type: Column | None = None) -> Column:
     """Name/value pairs of a page head, in document order per kind: title, named metas, charset."""
+    def closed(pattern: str) -> Column:
+        return F.filter(F.regexp_extract_all(body, F.lit(pattern), F.lit(1)), lambda found: found != "")
+
     titles = F.transform(
-        F.regexp_extract_all(body, F.lit(TITLE), F.lit(1)),
+        closed(TITLE),
         lambda title: F.struct(
             F.lit("title").alias("name"),
-            decode_entities(F.trim(F.regexp_replace(title, BLANKS, " "))).alias("value")))
-    tags = F.regexp_extract_all(body, F.lit(META), F.lit(0))
+            decode_entities(F.trim(F.regexp_replace(F.regexp_replace(title, TITLE_END, ""), BLANKS, " "))).alias("value")))
+    tags = closed(META)
     named = F.transform(tags, lambda tag: F.struct(
         _unquote(F.regexp_extract(tag, META_NAME, 1)).alias("name"),
         decode_entities(_unquote(F.regexp_extract(tag, META_CONTENT, 1))).alias("value")))
@@ -109,7 +116,7 @@ def metadata_map(body: Column, content_type: Column | None = None) -> Column:
 
 def raw_links(body: Column) -> Column:
     """Distinct link texts of a page as written, without those in comments and script bodies."""
-    visible = F.regexp_replace(F.regexp_replace(body, COMMENT, " "), SCRIPT_BODY, "$1")
+    visible = F.regexp_replace(F.regexp_replace(body, COMMENT, " "), SCRIPT_BODY, "$1$2")
     links = F.transform(F.regexp_extract_all(visible, F.lit(LINK), F.lit(1)),
                         lambda link: decode_entities(_unquote(link)))
     return F.array_distinct(F.filter(links, lambda link: link != ""))

@@ -2,6 +2,9 @@
 
 import hashlib
 import html
+import random
+import re
+import time
 from html.entities import html5
 
 import pytest
@@ -139,6 +142,54 @@ def test_plain_text(spark):
     assert gated == [""]
 
 
+OLD = {  # The patterns in their plain form; on broken pages they take quadratic time.
+    "comment": r"(?s)<!--.*?(?:-->|\Z)", "head": r"(?is)<head\b[^>]*>.*?</head\s*>",
+    "code": r"(?is)<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\Z)", "tag": r"(?s)<[^>]+>", "blanks": r"[ \t\r\n]+"}
+MARKS = ["<", ">", "<>", "<head>", "<head", "</head >", "</head>", "<HEAD a='>'>", "<title>", "</title>", "<title", "<script>", "</script>",
+         "<script", "</script", "<style x>", "</style\n>", "<!--", "-->", "<meta name=a content=b>", "<meta ", "<meta name='q'", "<p>",
+         "word", " ", "\n", "'", '"', "<a href=/x>", "<script src=y>", "<a href='"]
+
+
+def random_pages(count):
+    dice = random.Random(2)
+    return ["".join(dice.choices(MARKS, k=dice.randrange(1, 14))) for _ in range(count)]
+
+
+def test_markup_patterns_equal_their_plain_form(spark):
+    pages = random_pages(4000)
+    expected = []
+    for page in pages:
+        for pattern in OLD.values():
+            page = re.sub(pattern, " ", page)
+        expected.append(page.strip(" "))
+    assert apply(spark, lambda body: text.markup_to_text(body, lambda plain: plain), pages) == expected
+
+
+def test_metadata_and_scripts_equal_their_plain_form(spark):
+    pages = random_pages(4000)
+    found = apply(spark, lambda body: text.metadata_map(body, F.lit("text/html")), pages)
+    for page, names in zip(pages, found):
+        titles = [re.sub(OLD["blanks"], " ", title).strip(" ") for title in re.findall(r"(?is)<title\b[^>]*>(.*?)</title\s*>", page)]
+        metas = [tag for tag in re.findall(r"(?is)<meta\s[^>]*>", page) if re.search(r"\sname\s*=\s*[^\s>]", tag)]
+        assert names.get("title", []) == titles and sum(len(values) for name, values in names.items() if name in "aq") == len(metas)
+    visible = apply(spark, lambda body: F.regexp_replace(body, text.SCRIPT_BODY, "$1$2"), pages)
+    assert visible == [re.sub(r"(?is)(<script\b[^>]*>).*?(?:</script\s*>|\Z)", r"\1", page) for page in pages]
+
+
+@pytest.mark.parametrize("mark", ["<", " < ", "<title>", "<title", "<head>", "<head ", "</head><head>", "<meta ", "<meta name='", "<script ",
+                                  "<script>", "</script", "<!--", "<a href=\"", "<a href='x ", "<base href=", "\n \t", "<a \"'"])
+def test_broken_pages_take_time_in_proportion(spark, mark):
+    page = (mark * 1_000_000)[:1_000_000]
+    df = spark.createDataFrame([(page,)], "v string").cache()
+    df.count()
+    kind, body = F.lit("text/html"), F.col("v")
+    started = time.perf_counter()
+    df.select(F.length(text.extract_text(body, content_type=kind)), F.size(text.metadata_map(body, kind)),
+              F.size(text.raw_links(body)), text.base_url(F.lit("http://h/"), body)).collect()
+    # A million characters through all patterns; the plain patterns took minutes to half an hour.
+    assert time.perf_counter() - started < 5
+
+
 def test_all_entities(spark):
     pages = ["<html><body>&eacute;&#233;&#xE9; &amp;lt; x</body>", "plain &eacute;", "<html>none</html>", None]
     assert apply(spark, lambda body: text.extract_text(body, decode_all_entities), pages) == [
