@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ SLICE_BYTES = 2 * 1024 * 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
 _own_folder: dict[str, str] = {}
+_places: "WeakKeyDictionary[DataFrame, str]" = WeakKeyDictionary()
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -28,7 +30,9 @@ def scratch_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = _own_folder.setdefault("path", tempfile.mkdtemp(prefix="crawlspark-"))
+        if "path" not in _own_folder:
+            _own_folder["path"] = tempfile.mkdtemp(prefix="crawlspark-")
+        folder = _own_folder["path"]
     return folder.rstrip("/")
 
 
@@ -36,7 +40,18 @@ def kept(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder and read back: computed once, and safe from lost executors."""
     path = f"{scratch_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _places[table] = path
+    return table
+
+
+def superseded(*tables: DataFrame) -> None:
+    """Deletes tables that `kept` wrote, once nothing that is still to run reads them."""
+    for table in tables:
+        path = _places.pop(table)
+        jvm = table.sparkSession.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def attach(left: DataFrame, lookup: DataFrame, on: list[str], size: Column, how: str = "left",
@@ -124,7 +139,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = skew_safe_join(large, least, ["a"])
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        edges = kept(small)
+        older, edges = edges, kept(small)
+        superseded(older)
         after = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if after == before:
             break

@@ -272,8 +272,9 @@ def test_pairs_that_met_beyond_the_guaranteed_distance_are_compared(spark):
     members = spark.createDataFrame([(1, 0, 1, 0), (1, 0, 0, 0)], "key bigint, slot int, id bigint, head bigint")
     assert [tuple(row) for row in neardup.head_pairs(members, classes).collect()] == [(1, 0)]
     none = spark.createDataFrame([], "id bigint, component bigint")
-    assert neardup.apart_pairs(members, classes, none, True).count() > 0
-    assert neardup.apart_pairs(members, classes, none, False).count() > 0
+    mixed = neardup.mixed_members(members, none)
+    assert neardup.apart_pairs(mixed, classes, True).count() > 0
+    assert neardup.apart_pairs(mixed, classes, False).count() > 0
 
 
 def test_short_items_survive_a_substitution_and_case_of_any_script(spark):
