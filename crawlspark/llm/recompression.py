@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.llm.fingerprints import Sequence, mix, window_minima, word_bounds, word_items
-from crawlspark.llm.repeats import decided, merged_runs, with_lists
+from crawlspark.llm.repeats import decided, few_copies, merged_runs, with_keys, with_lists
 from crawlspark.llm.shared import arrow_rows, bound_batches
 from crawlspark.llm.suffixes import document_rows, gathered
 
@@ -113,21 +113,19 @@ def _level(width: int):
     def stretches(cell: int):
         def work(batches):
             def parts():
-                for doc_id, data, *lists in document_rows(batches):
-                    if doc_id is None or not data:
-                        continue
+                for doc_id, data, text_key, *lists in few_copies(document_rows(batches), 1):
                     codes = np.frombuffer(data, np.uint8)
                     items, other = word_items(codes, 0), word_items(codes, 1)
                     if lists:
                         starts = windows_of(lists[0])
                         key = Sequence(items, 0).hashes(starts, starts + width).view(np.int64)
                         full = Sequence(other, 1).hashes(starts, starts + width).view(np.int64)
-                        yield key, full, doc_id, starts << 16 | 1
+                        yield key, full, doc_id, starts << 16 | 1, text_key
                         continue
                     for low in range(0, len(items) - width + 1, PIECE):
                         piece = slice(low, low + PIECE + width - 1)
                         key, full, first, count = anchor_stretches(items[piece], other[piece], width)
-                        yield key, full, doc_id, (first + low) << 16 | count
+                        yield key, full, doc_id, (first + low) << 16 | count, text_key
 
             yield from gathered(parts())
 
@@ -144,7 +142,7 @@ def windows_of(ats: list[int]) -> np.ndarray:
 
 
 def later_windows(documents: DataFrame, width: int = 50) -> DataFrame:
-    """`doc_id`, `at` of stretches whose every window also starts in a document with a smaller doc_id."""
+    """`doc_id`, `text_key`, `at` of stretches whose every window also starts in a document with a smaller doc_id."""
     reach = width - 2 * margin() - CAPS[-1] + 1
     if reach < CAPS[-1]:
         raise ValueError(f"windows of {width} words are too short for symbols of {CAPS[-1]} words")
@@ -156,10 +154,10 @@ def later_windows(documents: DataFrame, width: int = 50) -> DataFrame:
 def remove_later(documents: DataFrame, width: int = 50) -> DataFrame:
     """`doc_id`, `n_words`, `n_removed`, `kept_sha256`, `removed` per row; `removed` lists runs as start:end in words."""
     bound_batches(documents.sparkSession)
-    texts = documents.selectExpr("cast(doc_id as bigint) as doc_id", "text")
+    texts = with_keys(documents)
 
     def work(rows):
-        for doc_id, data, cuts in rows:
+        for doc_id, data, _, cuts in rows:
             codes = np.frombuffer(data or b"", np.uint8)
             starts, ends = word_bounds(codes)
             runs = list(zip((cuts or [])[::2], (cuts or [])[1::2]))

@@ -7,7 +7,9 @@ row has
 - `key`: leading content of the stretch's core, then the core's fingerprint. The core is
   the part around the anchor that lies within every window that can share it;
 - `full`: a fingerprint of all the stretch covers, which says when whole stretches are equal;
-- `doc_id`, and `at`: first window times 2^16 plus number of windows.
+- `doc_id`, and `at`: first window times 2^16 plus number of windows;
+- `text_key`: a hash of the whole text. Rows are told apart by doc_id and text_key, so texts that share a doc_id are
+  texts of their own; rows equal in both have equal stretches, and a task gives those of a few of them only.
 
 Equal windows lie in stretches of equal `key`. The rows are range-partitioned by splitters
 that Spark samples, each bucket is sorted by multikey quicksort, neighbours are compared,
@@ -28,12 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import arrow_rows, attach, kept
+from crawlspark.llm.shared import arrow_rows, attach, kept, superseded
 
 STRETCH = "key bigint, full bigint, doc_id bigint, at bigint"
 STRETCH_SCHEMA = pa.schema([(name, pa.int64()) for name in ("key", "full", "doc_id", "at")])
+ROW_STRETCH = f"{STRETCH}, text_key bigint"
+ROW_STRETCH_SCHEMA = STRETCH_SCHEMA.append(pa.field("text_key", pa.int64()))
+ROW = ["doc_id", "text_key"]
 _FLAGS = ("same", "unlike", "first", "head_key", "head_full", "tail_key", "tail_full")
-_SORTED = f"bucket int, {STRETCH}, first_doc bigint, key_first bigint, " + ", ".join(f"{name} boolean" for name in _FLAGS)
+_SORTED = f"bucket int, {ROW_STRETCH}, first_doc bigint, key_first bigint, " + ", ".join(f"{name} boolean" for name in _FLAGS)
 
 
 def multikey_order(words: list[np.ndarray]) -> np.ndarray:
@@ -63,10 +68,10 @@ def _sorted_bucket(batches):
     if not tables:
         return
     table = pa.Table.from_batches(tables).combine_chunks()
-    words = [table.column(place).to_numpy() for place in range(4)]
+    words = [table.column(name).to_numpy() for name in ("key", "full", "doc_id", "text_key", "at")]
     del tables, table
     order = multikey_order(words)
-    key, full, doc, at = (word[order] for word in words)
+    key, full, doc, text, at = (word[order] for word in words)
     del words, order
     new_key = np.r_[True, key[1:] != key[:-1]]
     new_full = new_key | np.r_[True, full[1:] != full[:-1]]
@@ -75,7 +80,7 @@ def _sorted_bucket(batches):
     same = np.bincount(full_id)[full_id] > 1
     unlike = np.bincount(key_id[firsts])[key_id] > 1
     columns = {
-        "key": key, "full": full, "doc_id": doc, "at": at, "first_doc": doc[firsts][full_id],
+        "key": key, "full": full, "doc_id": doc, "at": at, "text_key": text, "first_doc": doc[firsts][full_id],
         "key_first": doc[np.flatnonzero(new_key)][key_id], "same": same, "unlike": unlike, "first": new_full,
         "head_key": key_id == 0, "head_full": full_id == 0, "tail_key": key_id == key_id[-1],
         "tail_full": full_id == full_id[-1]}
@@ -130,7 +135,7 @@ def _across(summaries: list) -> list[tuple]:
 
 
 def shared_stretches(stretches: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Rows of `stretches` (`key`, `full`, `doc_id`, `at`) whose key occurs more than once.
+    """Rows of `stretches` (`key`, `full`, `doc_id`, `at`, and `text_key` or 0) whose key occurs more than once.
 
     Adds `same`: an equal stretch is elsewhere; `unlike`: a stretch with this key and another
     content exists; `first_doc`: the smallest doc_id with an equal stretch; `key_first`:
@@ -139,8 +144,11 @@ def shared_stretches(stretches: DataFrame, partitions: int | None = None) -> Dat
     spark = stretches.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Sampling for the splitters reads the rows once more: from a table, as hashing the texts takes longer.
-    dealt = kept(stretches).repartitionByRange(count, "key", "full", "doc_id", "at")
+    source = kept(stretches)
+    dealt = source if "text_key" in source.columns else source.withColumn("text_key", F.lit(0).cast("bigint"))
+    dealt = dealt.repartitionByRange(count, "key", "full", "doc_id", "text_key", "at")
     rows = kept(dealt.mapInArrow(_sorted_bucket, _SORTED))
+    superseded(source)
     when = lambda flag, name: F.when(F.col(flag), F.col(name))
     summaries = rows.groupBy("bucket").agg(
         F.max(when("head_key", "key")).alias("first_key"), F.max(when("head_full", "full")).alias("first_full"),
@@ -156,7 +164,7 @@ def shared_stretches(stretches: DataFrame, partitions: int | None = None) -> Dat
         "head_key_first bigint")
     joined = rows.join(F.broadcast(across), "bucket")
     return joined.select(
-        "key", "full", "doc_id", "at",
+        "key", "full", "doc_id", "at", "text_key",
         (F.col("same") | (F.col("head_full") & F.col("head_same")) | (F.col("tail_full") & F.col("tail_same"))).alias("same"),
         (F.col("unlike") | (F.col("head_key") & F.col("head_unlike"))
          | (F.col("tail_key") & F.col("tail_unlike"))).alias("unlike"),
@@ -167,27 +175,45 @@ def shared_stretches(stretches: DataFrame, partitions: int | None = None) -> Dat
 
 
 def with_lists(documents: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """`doc_id`, `text`, `list` of documents and their lists of numbers, each bounded by its document's length."""
-    return attach(documents.select("doc_id", "text"), kept(lists), ["doc_id"], F.size("list") * 8 + 64, how).select(
-        "doc_id", "text", "list")
+    """`doc_id`, `text`, `text_key`, `list` of documents and their lists of numbers, each bounded by its document's length."""
+    return attach(documents.select(*ROW, "text"), kept(lists), ROW, F.size("list") * 8 + 72, how).select(
+        "doc_id", "text", "text_key", "list")
+
+
+def with_keys(documents: DataFrame) -> DataFrame:
+    """`doc_id`, `text`, `text_key` of documents."""
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
+
+
+def few_copies(rows, most: int):
+    """Rows (doc_id, text, text_key, ...) that have a doc_id and a text, of equal ones `most`. The memory is that of a task's ids."""
+    seen: dict[tuple, int] = {}
+    for row in rows:
+        if row[0] is None or not row[1]:
+            continue
+        known = row[0], row[2]
+        seen[known] = seen.get(known, 0) + 1
+        if seen[known] <= most:
+            yield row
 
 
 def decided(documents: DataFrame, level: Callable, cells: tuple[int, ...], goes: Column, compared: Column) -> DataFrame:
-    """`doc_id`, `at` of the stretches that repeat as `goes` asks, looked for level by level.
+    """`doc_id`, `text_key`, `at` of the stretches that repeat as `goes` asks, looked for level by level.
 
-    `level(cell)` gives a `mapInArrow` function that makes stretches of at most `cell`
+    `documents` come from `with_keys`. `level(cell)` gives a `mapInArrow` function that makes stretches of at most `cell`
     windows, from whole texts first, then from texts with the list of open stretches.
     `compared` picks, among equal stretches that unlike ones share a key with, those
     that stand for all of them.
     """
-    rows, found = documents.mapInArrow(level(cells[0]), STRETCH), []
+    rows, found = documents.mapInArrow(level(cells[0]), ROW_STRETCH), []
     for cell in (*cells[1:], None):
         shared = shared_stretches(rows)
-        found.append(shared.where(goes).select("doc_id", "at"))
+        found.append(shared.where(goes).select(*ROW, "at"))
         if cell is not None:
             open_rows = shared.where("unlike").where(compared)
-            lists = open_rows.groupBy("doc_id").agg(F.collect_list("at").alias("list"))
-            rows = with_lists(documents, lists, "inner").mapInArrow(level(cell), STRETCH)
+            # A set, as copies of a row name the same places: no list is longer than its text.
+            lists = open_rows.groupBy(*ROW).agg(F.collect_set("at").alias("list"))
+            rows = with_lists(documents, lists, "inner").mapInArrow(level(cell), ROW_STRETCH)
     return reduce(DataFrame.union, found)
 
 
@@ -201,12 +227,12 @@ def covered(ats: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def merged_runs(rows: DataFrame, width: int) -> DataFrame:
-    """`doc_id` and `list`: starts and ends, in turn, of what the stretches of `rows` cover."""
+    """`doc_id`, `text_key` and `list`: starts and ends, in turn, of what the stretches of `rows` cover."""
 
     def work(source):
-        for doc_id, ats in source:
-            yield doc_id, np.column_stack(covered(ats, width)).ravel().tolist()
+        for doc_id, text_key, ats in source:
+            yield doc_id, text_key, np.column_stack(covered(ats, width)).ravel().tolist()
 
-    lists = rows.groupBy("doc_id").agg(F.collect_list("at").alias("list"))
-    schema = pa.schema([("doc_id", pa.int64()), ("list", pa.list_(pa.int64()))])
-    return lists.mapInArrow(arrow_rows(work, schema, flush_rows=1000), "doc_id bigint, list array<bigint>")
+    lists = rows.groupBy(*ROW).agg(F.collect_set("at").alias("list"))
+    schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("list", pa.list_(pa.int64()))])
+    return lists.mapInArrow(arrow_rows(work, schema, flush_rows=1000), "doc_id bigint, text_key bigint, list array<bigint>")

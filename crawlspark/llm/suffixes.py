@@ -13,7 +13,7 @@ the suffixes of single windows.
 Equality of strings is that of two 64-bit fingerprints of different families.
 
 Null texts count as empty. Repeated rows are copies of each other: each has its strings
-elsewhere. Rows without doc_id are neither compared nor changed. Texts are cut into
+elsewhere. Texts that share a doc_id are compared and cut like any others. Rows without doc_id are neither compared nor changed. Texts are cut into
 overlapping pieces of `PIECE` window starts, so any length takes bounded memory. An
 empty table gives an empty result; columns other than doc_id and text are ignored.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.llm.fingerprints import Sequence, byte_items, window_minima
-from crawlspark.llm.repeats import STRETCH_SCHEMA, decided, merged_runs, with_lists
+from crawlspark.llm.repeats import ROW_STRETCH_SCHEMA, STRETCH_SCHEMA, decided, few_copies, merged_runs, with_keys, with_lists
 from crawlspark.llm.shared import arrow_rows, bound_batches, slice_rows
 
 GRAM = 32
@@ -65,16 +65,16 @@ def anchor_stretches(codes: np.ndarray, width: int, cell: int):
     return _keys(codes, start, core), full.view(np.int64), first, last - first + 1
 
 
-def _column_batch(key, full, doc_id, at) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(key), pa.array(full), pa.array(np.asarray(doc_id, np.int64)), pa.array(at)], schema=STRETCH_SCHEMA)
+def _column_batch(*columns) -> pa.RecordBatch:
+    schema = STRETCH_SCHEMA if len(columns) == len(STRETCH_SCHEMA) else ROW_STRETCH_SCHEMA
+    return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], schema=schema)
 
 
 def gathered(parts, least: int = 100_000):
-    """Record batches from (key, full, doc_id, at) arrays, joined to batches of a useful size."""
+    """Record batches from (key, full, doc_id, at) and perhaps text_key, arrays but for the ids, joined to a useful size."""
     waiting, size = [], 0
-    for key, full, doc_id, at in parts:
-        waiting.append((key, full, np.full(len(key), doc_id, np.int64), at))
+    for key, full, doc_id, at, *text_key in parts:
+        waiting.append((key, full, np.full(len(key), doc_id, np.int64), at, *[np.full(len(key), own, np.int64) for own in text_key]))
         size += len(key)
         if size >= least:
             yield _column_batch(*map(np.concatenate, zip(*waiting)))
@@ -96,9 +96,8 @@ def _level(width: int):
     def stretches(cell: int):
         def work(batches):
             def parts():
-                for doc_id, data, *lists in document_rows(batches):
-                    if doc_id is None or not data:
-                        continue
+                # Two copies of a row are enough to show that all it holds is elsewhere.
+                for doc_id, data, text_key, *lists in few_copies(document_rows(batches), 2):
                     codes = np.frombuffer(data, np.uint8)
                     if lists:
                         pieces = ((at >> 16, (at >> 16) + (at & 0xFFFF)) for at in lists[0])
@@ -106,7 +105,7 @@ def _level(width: int):
                         pieces = ((start, start + PIECE) for start in range(0, len(codes) - width + 1, PIECE))
                     for start, end in pieces:
                         key, full, first, count = anchor_stretches(codes[start:end + width - 1], width, cell)
-                        yield key, full, doc_id, (first + start) << 16 | count
+                        yield key, full, doc_id, (first + start) << 16 | count, text_key
 
             yield from gathered(parts())
 
@@ -116,7 +115,7 @@ def _level(width: int):
 
 
 def repeated_windows(documents: DataFrame, width: int = 400) -> DataFrame:
-    """`doc_id`, `at` of stretches whose every window also starts elsewhere; `at` as in `repeats`."""
+    """`doc_id`, `text_key`, `at` of stretches whose every window also starts elsewhere; see `repeats`, also for `documents`."""
     cells = (-(-(width - GRAM + 1) // 2), 24, 1)
     return decided(documents, _level(width), cells, F.col("same"), F.col("first"))
 
@@ -127,10 +126,10 @@ def remove_repeats(documents: DataFrame, width: int = 400) -> DataFrame:
     `removed` lists the maximal removed runs as start:end in bytes.
     """
     bound_batches(documents.sparkSession)
-    texts = documents.selectExpr("cast(doc_id as bigint) as doc_id", "text")
+    texts = with_keys(documents)
 
     def work(rows):
-        for doc_id, data, cuts in rows:
+        for doc_id, data, _, cuts in rows:
             data, cuts = data or b"", cuts or []
             runs = list(zip(cuts[::2], cuts[1::2]))
             digest, place = hashlib.sha256(), 0

@@ -61,7 +61,7 @@ def test_a_family_takes_little_room(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(shared, "scratch_folder", lambda spark: str(tmp_path))
     assert neardup.near_duplicates(docs, SHINGLE).where("kept").count() == 1500
     left = sum(os.path.getsize(os.path.join(place, name)) for place, _, names in os.walk(tmp_path) for name in names)
-    assert left < 2 * sum(len(text) for text in family(7, 1500, 60, 5))
+    assert left < 5 * sum(len(text) for text in family(7, 1500, 60, 5))
 
 
 def test_texts_that_share_an_id(spark):
