@@ -10,6 +10,7 @@ from crawlqueries.spark_queries import QUERIES
 from crawlspark.operators.joins import skew_safe_join
 from crawlspark.operators.links import inlink_sets
 from crawlspark.operators.stats import crawl_totals, host_counts
+from crawlspark.plans.dumps import linked_dump
 
 SF = "/root/testdata/sf0.001"
 
@@ -87,6 +88,26 @@ def test_a_hot_key_is_split(spark, how):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_lists_are_made_for_images_only(spark):
+    pages = [("http://a/i.png", "image/png"), ("http://a/p", "text/plain")]
+    content = spark.createDataFrame(pages, "url string, content_type string").selectExpr("*", "'x' as content", "null as http_date")
+    edges = [(url, f"http://b/{n}") for url, _ in pages for n in range(60)] + [("http://gone", "http://b/1")]
+    links = spark.createDataFrame(edges, "to_url string, from_url string")
+    images = content.where("content_type = 'image/png'").select("url")
+    sets = {row.url: row for row in inlink_sets(links, 9, slices=4, listed=images).collect()}
+    whole = {row.url: row for row in inlink_sets(links, 9, slices=4).collect()}
+    assert sets["http://a/i.png"] == whole["http://a/i.png"] and len(sets["http://a/i.png"].inlinks) == 10
+    for url in ("http://a/p", "http://gone"):
+        assert sets[url].inlinks is None and sets[url][1::2] == whole[url][1::2]
+    dump = linked_dump(content, links, V.LABELS, max_inlinks=9)
+    rows = {row.url: row for row in dump.collect()}
+    assert rows["http://a/p"].crawl_data is None and rows["http://a/p"].n_inlinks == 60
+    assert len(rows["http://a/i.png"].crawl_data.inlinks) == 10
+    # Cut before lists are made: by slice, then by whether the target is an image.
+    plan = plan_of(dump)
+    assert re.search(r"collect_list\(CASE WHEN wanted", plan) and re.search(r"Filter .*wanted#\d+ OR .*place#", plan)
+
+
 def test_hub_edges_meet_only_after_they_are_limited(spark):
     plan = plan_of(inlink_sets(V.links(spark, SF), 5000))
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
