@@ -1,15 +1,18 @@
 """Tasks from input paths to output paths. Each refuses an output path that exists."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from crawlspark.operators.dedup import dedup_index
-from crawlspark.operators.open_records import keep_indexed, relink_documents
+from crawlspark.operators.open_records import document_view, keep_indexed, relink_documents
 from crawlspark.operators.records import RunLabels, image_ids, image_paths, latest_times
+from crawlspark.operators.rejected import drop_rejected_documents, rejected_index
 from crawlspark.operators.relevance import page_relevance, ranked
 from crawlspark.operators.stats import crawl_totals, host_counts, ordered_hosts
 from crawlspark.plans import dumps, relevance
-from crawlspark.sources import readers, writers
+from crawlspark.sources import catalogue, manifest, readers, writers
 
 
 def dump_linked(spark: SparkSession, *, link_db: str, output_dir: str, labels: RunLabels, max_inlinks: int,
@@ -48,6 +51,21 @@ def deduplicate(spark: SparkSession, *, hash_dir: str, output_dir: str, dump_dir
     writers.write_document_parts(keep_indexed(documents, index, exact), output_dir)
 
 
+def build_rejected_index(spark: SparkSession, *, hash_dir: str, output_dir: str, dump_dir: str | None = None,
+                         dump_file: str | None = None) -> None:
+    """`path`, `_id` of the documents that the dedup index below `hash_dir` does not keep."""
+    documents = document_view(readers.read_open_dump(spark, dump_dir, dump_file), "_id")
+    writers.write_table(rejected_index(documents, readers.read_dedup_index(spark, hash_dir)), output_dir)
+
+
+def deduplicate_rejected(spark: SparkSession, *, rejected_dir: str, output_dir: str, dump_dir: str | None = None,
+                         dump_file: str | None = None) -> None:
+    """The documents that `deduplicate` keeps, filtered where they lie by the index of the rejected."""
+    documents = readers.read_open_dump(spark, dump_dir, dump_file)
+    rejected = spark.read.schema("path string, _id string").parquet(rejected_dir)
+    writers.write_document_parts(drop_rejected_documents(documents, rejected), output_dir)
+
+
 def relink_dumped_images(spark: SparkSession, *, segment_dir: str, dump_dir: str, output_dir: str) -> None:
     """Image documents with ids for parent and inlinks, and all their other fields."""
     times = latest_times(readers.read_content(spark, segment_dir))
@@ -62,6 +80,19 @@ def export_images(spark: SparkSession, *, output_dir: str, by: str = "id", segme
     writers.export_images(images, output_dir)
 
 
+def export_images_with_manifest(spark: SparkSession, *, output_dir: str, by: str = "id", catalogue_dir: str,
+                                segments: Sequence[str] | None = None) -> int:
+    """Images of a catalogue, or of some of its segments, with the manifest of what was exported; opens no other content."""
+    content = catalogue.read_catalogue(spark, catalogue_dir, segments, kinds=("image",))
+    return manifest.export_with_manifest({"id": image_ids, "path": image_paths}[by](content), output_dir)
+
+
+def build_catalogue(spark: SparkSession, *, output_dir: str, segment_dir: str | None = None,
+                    segment_file: str | None = None) -> None:
+    """Segments as `segment=<name>/kind=<kind>` folders; `catalogue.write_segment` adds later ones."""
+    catalogue.write_catalogue(readers.read_content(spark, segment_dir, segment_file), output_dir)
+
+
 def crawl_statistics(spark: SparkSession, *, output_dir: str, segment_dir: str | None = None,
                      segment_file: str | None = None) -> None:
     """Writes `all_segments`, `host_urls` (counts, largest first) and `totals` below the output folder.

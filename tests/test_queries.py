@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from crawlqueries.layout_queries import ORACLE_SQL as LAYOUT_SQL
 from crawlqueries.oracle import ORACLE_SQL
 from compare import difference, open_tables
 
@@ -14,7 +15,7 @@ def tables():
     return open_tables(SF)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+@pytest.mark.parametrize("name", sorted({**ORACLE_SQL, **LAYOUT_SQL}))
 def test_query_equals_sql(spark, tables, name):
     assert difference(entry_module.queries()[name], entry_module.oracle_sql()[name], spark, tables, SF) == ""
 

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from crawlspark.operators.records import RunLabels
 from crawlspark.plans import tasks
 from crawlspark.schemas import CRAWL_CONTENT, CRAWL_DB, CRAWL_LINKS
-from crawlspark.sources import readers, writers
+from crawlspark.sources import manifest, readers, writers
 
 DATE = "Tue, 30 Aug 2016 18:00:00 GMT"
 PAGE = ("<html><head><title>T</title></head><body>" + "apple pie " * 20 + "</body></html>").encode()
@@ -110,6 +110,28 @@ def test_dump_then_deduplicate(spark, crawl, tmp_path):
     assert [(doc["obj_parent"], doc["crawl_data"]) for doc in relinked] == [(parent, {"inlinks": [parent]})]
 
 
+def test_deduplicate_by_the_rejected(spark, crawl, tmp_path):
+    out = f"{tmp_path}/dump"
+    tasks.dump_linked(spark, max_inlinks=5000, segment_dir=f"{crawl}/segments", link_db=f"{crawl}/linkdb", output_dir=out, labels=LABELS)
+    tasks.build_dedup_index(spark, dump_dir=out, output_dir=f"{tmp_path}/index")
+    tasks.deduplicate(spark, dump_dir=out, hash_dir=f"{tmp_path}/index", output_dir=f"{tmp_path}/kept")
+    tasks.build_rejected_index(spark, dump_dir=out, hash_dir=f"{tmp_path}/index", output_dir=f"{tmp_path}/rejected")
+    tasks.deduplicate_rejected(spark, dump_dir=out, rejected_dir=f"{tmp_path}/rejected", output_dir=f"{tmp_path}/left")
+    left = [json.loads(line) for line in lines(f"{tmp_path}/left")]
+    assert sorted(left, key=str) == sorted((json.loads(line) for line in lines(f"{tmp_path}/kept")), key=str)
+    assert all("n_inlinks" in doc for doc in left)
+
+
+def test_images_of_a_catalogue(spark, crawl, tmp_path):
+    tasks.build_catalogue(spark, segment_dir=f"{crawl}/segments", output_dir=f"{tmp_path}/catalogue")
+    assert tasks.export_images_with_manifest(spark, catalogue_dir=f"{tmp_path}/catalogue", output_dir=f"{tmp_path}/out") == 1
+    row = manifest.read_exported(spark, f"{tmp_path}/out").first()
+    assert (row.path, bytes(row.content)) == (sha("http://h.org/i.png-1472580000000"), b"\x89\xff\x00")
+    # A segment without images.
+    assert tasks.export_images_with_manifest(spark, catalogue_dir=f"{tmp_path}/catalogue", segments=["s2"], by="path",
+                                             output_dir=f"{tmp_path}/none") == 0
+
+
 def test_dump_line_that_is_no_json_raises(spark, tmp_path):
     folder = tmp_path / "dump"
     folder.mkdir()
