@@ -8,7 +8,8 @@ a bounded sample of labelled rows.
 Two signals reject a text: a low softmax score, and subwords that are rare in every learned language (`rarity`),
 as a softmax is sure of texts unlike all it learned, too. The temperature and both bounds come from sampled
 rows, each scored without having been learned from. Fewer than `CALIBRATED` such rows set no bound.
-Languages beyond the `most_languages` most frequent ones are not learned, so their texts are rejected.
+All languages are learned as long as the bound on sampled rows (`most_rows`) leaves each `CALIBRATED` of them: 4,000
+languages. Texts of rarer ones are rejected as those of unknown languages are.
 
 Texts that are null or hold no letter get `und` with score 0 and are rejected; if no row is
 labelled, every text is `und`. Equally likely languages go to the first in name order.
@@ -65,6 +66,24 @@ def subword_counts(data: bytes) -> np.ndarray:
     return counts
 
 
+class Sample:
+    """Bucket counts of the sampled texts, held as the buckets that occur; rows become dense a few at a time."""
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
+        self.buckets = [buckets for buckets, _ in rows]
+        self.counts = [counts for _, counts in rows]
+        self.totals = np.array([counts.sum() for _, counts in rows], np.float64)
+
+    def shares(self, rows: np.ndarray) -> np.ndarray:
+        dense = np.zeros((len(rows), BUCKETS))
+        for place, row in enumerate(rows.tolist()):
+            dense[place, self.buckets[row]] = self.counts[row] / max(1, self.totals[row])
+        return dense
+
+    def scores(self, rows: np.ndarray, table: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.shares(rows[start:start + 256]) @ table for start in range(0, len(rows), 256)]) + bias
+
+
 class LanguageModel:
     """Trained weights: `table` gives each bucket's share of every language's score, `excess` its rarity there in bits."""
 
@@ -93,18 +112,19 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return scores / scores.sum(axis=1, keepdims=True)
 
 
-def _descend(shares: np.ndarray, labels: np.ndarray, used: np.ndarray, classes: int, epochs: int, rate: float,
+def _descend(sample: Sample, labels: np.ndarray, used: np.ndarray, classes: int, epochs: int, rate: float,
              rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Table and bias learned from the rows `used`."""
+    """Table and bias learned from the rows `used`, in another order each epoch."""
     embed = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     weight, bias = rng.normal(0, 0.1, (DIMENSIONS, classes)), np.zeros(classes)
     # Rare languages weigh as much as frequent ones.
     balance = len(used) / (classes * np.maximum(1, np.bincount(labels[used], minlength=classes)))
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
-        for start in range(0, len(used), 32):
-            batch = rng.permutation(used)[:32] if start == 0 else used[start:start + 32]
-            inputs = shares[batch]
+        shuffled = rng.permutation(used)
+        for start in range(0, len(shuffled), 32):
+            batch = shuffled[start:start + 32]
+            inputs = sample.shares(batch)
             hidden = inputs @ embed
             error = _softmax(hidden @ weight + bias)
             error[np.arange(len(batch)), labels[batch]] -= 1
@@ -118,31 +138,32 @@ def _descend(shares: np.ndarray, labels: np.ndarray, used: np.ndarray, classes:
     return embed @ weight, bias
 
 
-def _rarity(counts: np.ndarray, shares: np.ndarray, labels: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+def _rarity(sample: Sample, labels: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
     """Bits by which each bucket is rarer than usual in each language, and the rarity of each row.
 
     A bucket's frequency is the mean of its shares in the language's texts, with one even text more.
     Each row is measured without its own share.
     """
     sums = np.full((BUCKETS, classes), 1 / BUCKETS)
-    for label in range(classes):
-        sums[:, label] += shares[labels == label].sum(axis=0, dtype=np.float64)
+    own_shares = [counts / max(1, total) for counts, total in zip(sample.counts, sample.totals)]
+    for used, share, label in zip(sample.buckets, own_shares, labels):
+        sums[used, label] += share
     texts = np.bincount(labels, minlength=classes) + 1.0
-    rows = []
+    bits = np.zeros((len(labels), classes))
     for row, label in enumerate(labels):
-        used = np.flatnonzero(counts[row])
-        own, others = sums[used].copy(), texts.copy()
-        own[:, label] = np.maximum(1 / BUCKETS, own[:, label] - shares[row, used])
+        used = sample.buckets[row]
+        own, others = sums[used], texts.copy()
+        own[:, label] = np.maximum(1 / BUCKETS, own[:, label] - own_shares[row])
         others[label] -= 1
-        rows.append((counts[row, used] @ -np.log2(own / others), counts[row].sum()))
-    bits, sizes = np.array([row[0] for row in rows]), np.array([row[1] for row in rows])
+        bits[row] = sample.counts[row] @ -np.log2(own / others)
+    sizes = sample.totals
     means = bits[np.arange(len(labels)), labels] / np.maximum(1, sizes)
     filled = [(labels == label) & (sizes > 0) for label in range(classes)]
     usual = np.array([means[some].mean() if some.any() else np.log2(BUCKETS) for some in filled])
     return -np.log2(sums / texts) - usual, ((bits - sizes[:, None] * usual) / (sizes[:, None] + USUAL)).min(axis=1)
 
 
-def fit(counts: np.ndarray, labels: np.ndarray, languages: list[str], epochs: int = 12, rate: float = 2.0,
+def fit(sample: Sample, labels: np.ndarray, languages: list[str], epochs: int = 12, rate: float = 2.0,
         reject: float = 0.001, seed: int = 7) -> LanguageModel:
     """Trains on four fifths of the rows; every fifth in turn is scored by what the rest teaches, to calibrate on all rows.
 
@@ -150,18 +171,17 @@ def fit(counts: np.ndarray, labels: np.ndarray, languages: list[str], epochs: in
     bound; scores count for rows whose own language leads. Of fewer than 1 / `reject` rows none does.
     """
     rng = np.random.default_rng(seed)
-    shares = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
     order = rng.permutation(len(labels))
     classes, fold = len(languages), len(order) // FOLDS
     model, scores, gold = None, [], []
     for place in range(FOLDS if fold else 1):
         low, high = place * fold, len(order) if place == FOLDS - 1 else (place + 1) * fold
         held, used = order[low:high], np.r_[order[:low], order[high:]] if fold else order
-        table, bias = _descend(shares, labels, used, classes, epochs, rate, rng)
+        table, bias = _descend(sample, labels, used, classes, epochs, rate, rng)
         # The model is that of the first fifth.
         model = model or (table, bias)
         held = held if fold else used
-        scores.append(shares[held] @ table + bias)
+        scores.append(sample.scores(held, table, bias))
         gold.append(labels[held])
     table, bias = model
     scores, gold = np.concatenate(scores), np.concatenate(gold)
@@ -174,7 +194,7 @@ def fit(counts: np.ndarray, labels: np.ndarray, languages: list[str], epochs: in
     sure = _softmax(scores / temperature)
     own = sure.max(axis=1)[sure.argmax(axis=1) == gold]
     least = float(np.quantile(own, reject, method="lower")) if len(own) >= CALIBRATED else 0.0
-    excess, rarity = _rarity(counts, shares, labels, classes)
+    excess, rarity = _rarity(sample, labels, classes)
     most = float(np.quantile(rarity, 1 - reject, method="higher")) if len(rarity) >= CALIBRATED else np.inf
     return LanguageModel(languages, table.astype(np.float32), bias, temperature, least, excess.astype(np.float32), most)
 
@@ -184,23 +204,26 @@ def held_out(documents: DataFrame) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(documents: DataFrame, per_language: int = 400, most_languages: int = 200) -> LanguageModel:
-    """Model from about `per_language` rows of each language that are not held out.
+def train(documents: DataFrame, per_language: int = 400, most_rows: int = 80_000) -> LanguageModel:
+    """Model from about `per_language` distinct rows of each language that are not held out, about `most_rows` in all.
 
-    The sample is drawn by a hash of doc_id. The driver gets bucket counts of the
-    sampled rows only: at most `most_languages` x `per_language` x 8192 numbers,
-    those of the most frequent languages.
+    Rows are drawn by a hash of doc_id and text, so rows that share a doc_id or have none are drawn one by one, and
+    copies of a row count once. Only bucket counts of the drawn rows reach the driver, never more than 8192 numbers a row.
+    Beyond `most_rows` / `per_language` languages each has a smaller share, down to `CALIBRATED` rows.
     """
     bound_batches(documents.sparkSession)
     labelled = documents.where("text is not null and lang is not null").where(~held_out(documents))
-    sizes = (labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect())
+    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_rows // CALIBRATED).collect()
     languages = sorted(row["lang"] for row in sizes)
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
-    shares = F.create_map(*[item for row in sizes for item in (
-        F.lit(row["lang"]), F.lit(min(1.0, per_language / row["count"])))])
-    draw = (F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20)) / F.lit(float(1 << 20)))
-    sample = labelled.where(draw < F.coalesce(shares[F.col("lang")], F.lit(0.0)))
+    wanted = min(per_language, most_rows // len(languages))
+    shares = documents.sparkSession.createDataFrame(
+        [(row["lang"], min(1.0, wanted / row["count"])) for row in sizes], "lang string, share double")
+    drawn = F.xxhash64("doc_id", "text", F.lit("language"))
+    sample = (labelled.select("lang", "text", drawn.alias("drawn")).join(F.broadcast(shares), "lang")
+              .where(F.pmod("drawn", F.lit(1 << 20)) / F.lit(float(1 << 20)) < F.col("share"))
+              .groupBy("lang", "drawn").agg(F.first("text").alias("text")).select("lang", "text"))
 
     def count(rows):
         for lang, data in rows:
@@ -209,16 +232,14 @@ def train(documents: DataFrame, per_language: int = 400, most_languages: int = 2
             yield lang, buckets.astype(np.int16).tobytes(), counts[buckets].astype(np.int32).tobytes()
 
     schema = pa.schema([("lang", pa.binary()), ("buckets", pa.binary()), ("counts", pa.binary())])
-    rows = sample.select("lang", "text").mapInArrow(
-        arrow_rows(count, schema), "lang binary, buckets binary, counts binary").collect()
+    rows = sample.mapInArrow(arrow_rows(count, schema), "lang binary, buckets binary, counts binary").collect()
     rows = sorted((bytes(row[0]).decode(), bytes(row[1]), bytes(row[2])) for row in rows)
     if not rows:
         return LanguageModel([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
-    counts = np.zeros((len(rows), BUCKETS), np.float32)
-    for place, (_, buckets, own) in enumerate(rows):
-        counts[place, np.frombuffer(buckets, np.int16)] = np.frombuffer(own, np.int32)
-    labels = np.array([languages.index(lang) for lang, _, _ in rows])
-    return fit(counts, labels, languages)
+    places = {lang: place for place, lang in enumerate(languages)}
+    labels = np.array([places[lang] for lang, _, _ in rows])
+    return fit(Sample([(np.frombuffer(buckets, np.int16), np.frombuffer(counts, np.int32))
+                       for _, buckets, counts in rows]), labels, languages)
 
 
 def identify(documents: DataFrame, model: LanguageModel | None = None) -> DataFrame:
