@@ -9,13 +9,16 @@ Each hit is verified by comparing the words along its alignment.
 Items are searched in blocks of bounded size, each broadcast as a sorted hash table and joined
 to all documents in one pass; a larger benchmark takes more passes. A block's hits are written and its
 broadcast is released before the next, so the driver holds one block at a time; an item is not split. Items of fewer than
-`LEAST` words, and at least `SHORTEST`, count where they occur as a whole with at most one word replaced
+`LEAST` words, and at least `TOLERANT`, count where they occur as a whole with at most one word replaced
 (`ERRORS` scaled to their length): one of their halves is intact there, and is what is looked for.
-Shorter items and null texts are not looked for; text without blanks between words counts as one word.
-
-Null documents overlap nothing. Repeated rows are reported once per row of their doc_id; rows
-without doc_id are not reported. Equal items are reported under their smallest item_id. Empty
-tables give an empty result; columns other than doc_id, item_id and text are ignored.
+Shorter items, down to one word, count where they occur as a whole, unchanged. Such items occur by chance too:
+who does not want them leaves them out of the benchmark. Null and wordless items are not looked
+for; text without blanks between words counts as one word.
+
+Null documents overlap nothing. `contaminated` reports repeated rows once per doc_id, with what any of its rows
+overlaps, and no rows without doc_id; `remove_contaminated` decides on every row's own text, with or without
+doc_id. Equal items are reported under their smallest item_id. Empty tables give an empty
+result; columns other than doc_id, item_id and text are ignored.
 """
 
 from itertools import combinations
@@ -27,9 +30,9 @@ from pyspark.sql import functions as F
 
 from crawlspark.llm.fingerprints import Sequence, mix, word_items
 from crawlspark.llm.mixing import words
-from crawlspark.llm.shared import arrow_rows, attach, bound_batches, kept
+from crawlspark.llm.shared import arrow_rows, attach, bound_batches, kept, unused_names
 
-LEAST, ERRORS, SHORTEST = 13, 2, 8
+LEAST, ERRORS, TOLERANT = 13, 2, 8
 BLOCK_WORDS = 500_000
 PIECE = 1 << 14
 _CUTS = np.linspace(0, LEAST, 5).round().astype(int)
@@ -56,6 +59,16 @@ def masked_hashes(items: np.ndarray) -> np.ndarray:
                      for place, (a, b) in enumerate(_MASKS)]).reshape(len(_MASKS), len(starts))
 
 
+def replaced(length: int) -> int:
+    """How many words of a short item may be replaced where it occurs."""
+    return ERRORS * length // LEAST if length >= TOLERANT else 0
+
+
+def cuts(length: int) -> list[tuple[int, int]]:
+    """The parts of a short item, one of which is unchanged wherever it occurs."""
+    return [(0, length // 2), (length // 2, length)] if replaced(length) else [(0, length)]
+
+
 class Items:
     """A block of benchmark items with the hashes of its seeds."""
 
@@ -69,11 +82,12 @@ class Items:
                 hashes.append(own.ravel())
                 owners.append(np.full(own.size, owner))
                 places.append(np.tile(np.arange(own.shape[1]), len(_MASKS)))
-            elif len(items) >= SHORTEST:
-                half = len(items) // 2
-                cuts = Sequence(items, 0).hashes(np.array([0, half]), np.array([half, len(items)]))
-                for start, value in zip((0, half), cuts.tolist()):
-                    self.short.setdefault((len(items), start), {}).setdefault(value, []).append(owner)
+            elif len(items):
+                for first, last in cuts(len(items)):
+                    value = int(Sequence(items, 0).hashes(np.array([first]), np.array([last]))[0])
+                    self.short.setdefault((len(items), first, last), {}).setdefault(value, []).append(owner)
+        #: The cut hashes of short items in order, to tell whole pieces of a text that hold none.
+        self.cut_hashes = {cut: np.array(sorted(known), np.uint64) for cut, known in self.short.items()}
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         self.hashes, self.owners, self.places = join(hashes, np.uint64), join(owners, np.int64), join(places, np.int64)
         order = np.argsort(self.hashes, kind="stable")
@@ -84,7 +98,7 @@ class Items:
     def overlaps(self, data: bytes | None) -> dict[int, int]:
         """Item number to the number of its words that agree within overlaps."""
         items, found = folded_words(data), {}
-        for low in range(0, max(1, len(items) - SHORTEST + 1), PIECE):
+        for low in range(0, len(items), PIECE):
             # Alignments reach as far as an item does on either side of the piece.
             self._search(items, low, min(len(items), low + PIECE + LEAST - 1), found)
         return {owner: int(agree.sum()) for owner, agree in found.items()}
@@ -103,14 +117,13 @@ class Items:
                     tried.add((owner, shift))
                     self._verify(items, owner, shift, found)
         sequence = Sequence(items[low:high], 0)
-        for (length, cut), known in self.short.items():
-            half = length // 2
+        for (length, first, last), known in self.short.items():
             starts = np.arange(max(0, high - low - length + 1))
-            first, last = starts + cut, starts + (length if cut else half)
-            for start, value in enumerate(sequence.hashes(first, last).tolist()):
-                for owner in known.get(value, ()):
+            values = sequence.hashes(starts + first, starts + last)
+            for start in np.flatnonzero(np.isin(values, self.cut_hashes[length, first, last])).tolist():
+                for owner in known[int(values[start])]:
                     agree = self.words[owner] == items[low + start:low + start + length]
-                    if length - agree.sum() <= ERRORS * length // LEAST:
+                    if length - agree.sum() <= replaced(length):
                         found[owner] = found.get(owner, np.zeros(length, bool)) | agree
 
     def _verify(self, items: np.ndarray, owner: int, shift: int, found: dict[int, np.ndarray]) -> None:
@@ -126,33 +139,41 @@ class Items:
             found[owner] = found.get(owner, np.zeros(len(own), bool)) | inside
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """`doc_id`, `n_items`, `n_words` (words that agree, summed over items), `items` per document with an overlap."""
-    bound_batches(documents.sparkSession)
+def overlapping(texts: DataFrame, keys: list[str], benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The `keys` (bigint columns) of each of `texts` with an overlap, `item_id` and `n_words` (words that agree)."""
+    bound_batches(texts.sparkSession)
     items = kept(benchmark.where("text is not null and item_id is not null").groupBy("text").agg(
         F.min("item_id").cast("bigint").alias("item_id")).withColumn("words", words(F.col("text"))))
     total = items.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()["words"]
     # Items are dealt to blocks by a hash of their id.
     blocks = max(1, -(-total // block_words))
-    texts = documents.selectExpr("cast(doc_id as bigint) as doc_id", "text").where("doc_id is not null")
+    names = [*keys, "item_id", "n_words"]
+    schema = pa.schema([(name, pa.int64()) for name in names])
     found = None
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).select("item_id", "text").collect()
-        table = documents.sparkSession.sparkContext.broadcast(
+        table = texts.sparkSession.sparkContext.broadcast(
             Items([(row["item_id"], row["text"].encode()) for row in sorted(own)]))
 
         def work(rows, table=table):
             searched = table.value
-            for doc_id, data in rows:
+            for *key, data in rows:
                 for owner, agree in searched.overlaps(data).items():
-                    yield doc_id, searched.ids[owner], agree
+                    yield *key, searched.ids[owner], agree
 
-        schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_words", pa.int64())])
-        part = texts.mapInArrow(arrow_rows(work, schema), "doc_id bigint, item_id bigint, n_words bigint")
+        part = texts.select(*keys, "text").mapInArrow(
+            arrow_rows(work, schema), ", ".join(f"{name} bigint" for name in names))
         if blocks > 1:
             part = kept(part)
             table.destroy()
         found = part if found is None else found.union(part)
+    return found
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """`doc_id`, `n_items`, `n_words` (words that agree, summed over items), `items` per document with an overlap."""
+    texts = documents.selectExpr("cast(doc_id as bigint) as doc_id", "text").where("doc_id is not null")
+    found = overlapping(texts, ["doc_id"], benchmark, block_words)
     per_item = found.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"))
     return per_item.groupBy("doc_id").agg(
         F.count("*").alias("n_items"), F.sum("n_words").alias("n_words"),
@@ -160,6 +181,12 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, block_words: int =
 
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """`documents` without those that overlap a benchmark item; rows without doc_id stay."""
-    found = kept(contaminated(documents, benchmark).select("doc_id"))
-    return attach(documents, found, ["doc_id"], F.lit(24), "left_anti").select(*documents.columns)
+    """`documents` without the rows whose text overlaps a benchmark item.
+
+    Texts are told apart by two 64-bit hashes, so doc_id plays no part: rows without one, and different texts under
+    one, each go or stay for what they say.
+    """
+    first, second = keys = unused_names(documents, "text_hash", "text_hash_2")
+    keyed = documents.withColumns({first: F.xxhash64("text"), second: F.xxhash64("text", F.lit("second"))})
+    found = kept(overlapping(keyed, keys, benchmark).select(*keys).distinct())
+    return attach(keyed, found, keys, F.lit(32), "left_anti").select(*documents.columns)

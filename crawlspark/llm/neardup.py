@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from crawlspark.llm.fingerprints import Sequence, mix, word_items
 from crawlspark.llm.repeats import STRETCH, shared_stretches
-from crawlspark.llm.shared import arrow_rows, attach, bound_batches, components, kept, superseded
+from crawlspark.llm.shared import arrow_rows, attach, bound_batches, components, kept, superseded, unused_names
 from crawlspark.llm.suffixes import document_rows, gathered
 from crawlspark.operators.joins import skew_safe_join
 
@@ -418,11 +418,11 @@ def keep_one_each(documents: DataFrame, shingle: int = 5, percent: int = 80) ->
     chosen = skew_safe_join(counts, first, ["component"], "left").withColumn(
         "stays", F.coalesce(F.col("kept") & (F.col("text_key") == F.col("least")), F.lit(False)))
     # Documents move only where more than this table can be broadcast: those that go, and those that are there more than once.
+    id_, key, stays = unused_names(documents, "id", "key", "stays")
     marked = kept(chosen.where("not stays or n > 1").select(
-        "doc_id", "text_key", F.col("stays").alias("__stays")))
+        F.col("doc_id").alias(id_), F.col("text_key").alias(key), F.col("stays").alias(stays)))
     superseded(found, counts)
-    keyed = documents.withColumns({"__id": F.col("doc_id").cast("bigint"), "__key": F.xxhash64("text")})
-    marked = marked.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__stays")
-    joined = attach(keyed, marked, ["__id", "__key"], F.lit(40), "left")
-    repeated = joined.where("__stays").dropDuplicates(["__id", "__key"])
-    return joined.where("__stays is null").select(*documents.columns).union(repeated.select(*documents.columns))
+    keyed = documents.withColumns({id_: F.col("doc_id").cast("bigint"), key: F.xxhash64("text")})
+    joined = attach(keyed, marked, [id_, key], F.lit(40), "left")
+    repeated = joined.where(F.col(stays)).dropDuplicates([id_, key])
+    return joined.where(F.col(stays).isNull()).select(*documents.columns).union(repeated.select(*documents.columns))

@@ -67,6 +67,14 @@ def attach(left: DataFrame, lookup: DataFrame, on: list[str], size: Column, how:
     return skew_safe_join(left, lookup, on, how)
 
 
+def unused_names(df: DataFrame, *names: str) -> list[str]:
+    """`names`, each with as many leading underscores as it takes to be no column of `df`, whatever the case."""
+    taken = {column.lower() for column in df.columns}
+    while any(name.lower() in taken for name in names):
+        names = tuple(f"_{name}" for name in names)
+    return list(names)
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Lowers the session's bounds on Arrow batches to `BATCH_ROWS` rows and `BATCH_BYTES` bytes; never raises them.
 

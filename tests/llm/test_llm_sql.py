@@ -57,8 +57,8 @@ def folded(text):
 
 def overlaps(words, item):
     if len(item) < decontam.LEAST:
-        return len(item) >= decontam.SHORTEST and any(
-            (words[start:start + len(item)] == item).all() for start in range(len(words) - len(item) + 1))
+        return len(item) > 0 and any((words[start:start + len(item)] != item).sum() <= (len(item) >= 8)
+                                     for start in range(len(words) - len(item) + 1))
     rows, columns = len(item) - decontam.LEAST + 1, len(words) - decontam.LEAST + 1
     if columns <= 0:
         return False
