@@ -4,8 +4,10 @@ Vectors of one label are compared by cosine in double precision; on unit vectors
 bound. Equal vectors are one tree point with a weight. The top of a label's tree is a set of
 centers, chosen from a bounded sample; every vector belongs to the cell of its nearest center,
 and visits an earlier cell only if it lies within the distance bound of the plane between the two centers: no
-pair closer than the bound is parted. Cells are dealt out in blocks of at most `BLOCK` vectors a
-side. A task builds the lower levels, whose radii halve, and walks two trees at once:
+pair closer than the bound is parted. A large label gets more centers: they are chosen for the sizes that the label has,
+not for those of its sample. Cells are dealt out in blocks of about `BLOCK` vectors; each pair of blocks that hold
+a cell's own vectors meets once, and so does each such block with each block of the cell's visitors. Vectors travel
+in the type they came in and become unit vectors where they are compared. A task builds the lower levels, whose radii halve, and walks two trees at once:
 node pairs too far apart by their covering radii are dropped, node pairs that are near enough as a
 whole are counted as a whole, the rest is compared point by point. A task returns each vector's
 count and one link to its component within the block, never all pairs.
@@ -23,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import arrow_rows, components, kept
+from crawlspark.llm.shared import arrow_rows, components, kept, superseded
 from crawlspark.operators.joins import skew_safe_join
 
 BLOCK = 2048
 LEAF = 48
-CENTERS = 64
+CENTERS, MOST_CENTERS = 64, 512
 SAMPLE = 20_000
 #: Node bounds are rounded outwards by this much; point pairs are compared exactly.
 SLACK = 1e-6
@@ -145,8 +147,9 @@ class Links:
 
 
 def usable_vectors(embeddings: DataFrame) -> DataFrame:
-    """`vec_id`, `label`, `vector` (array of double) of rows that can link at all."""
-    vector = F.col("embedding").cast("array<double>")
+    """`vec_id`, `label`, `vector` (float components as they are, others as double) of rows that can link at all."""
+    single = embeddings.schema["embedding"].dataType.simpleString() == "array<float>"
+    vector = F.col("embedding") if single else F.col("embedding").cast("array<double>")
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return embeddings.where("vec_id is not null and label is not null and embedding is not null").where(
         F.coalesce(fine, F.lit(False)) & F.exists(vector, lambda x: x != 0)).select(
@@ -159,11 +162,11 @@ def unit(rows: list) -> np.ndarray:
     return points / np.linalg.norm(points, axis=1, keepdims=True)
 
 
-def label_centers(points: DataFrame, bound: float, sample: int = SAMPLE, most: int = CENTERS) -> dict:
+def label_centers(points: DataFrame, bound: float, sample: int = SAMPLE) -> dict:
     """(label, length) to centers: the top of each label's tree, from at most about `sample` vectors in all.
 
-    Of a label's centers, picked farthest first, as many are used as make the fewest
-    comparisons of the sampled vectors: vectors that do not cluster are best left in one cell.
+    Of a label's centers, picked farthest first, as many are used as make the fewest comparisons of
+    all its vectors, as the sampled ones tell: vectors that do not cluster are best left in one cell.
     """
     total = points.count()
     share = min(1.0, sample / max(1, total))
@@ -171,20 +174,25 @@ def label_centers(points: DataFrame, bound: float, sample: int = SAMPLE, most: i
     by_label: dict = {}
     for row in sorted(drawn.select("id", "label", "vector").limit(2 * sample).collect()):
         by_label.setdefault((row["label"], len(row["vector"])), []).append(row["vector"])
-    return {label: _top(unit(rows), most, bound) for label, rows in by_label.items()}
+    return {label: _top(unit(rows), bound, 1 / share) for label, rows in by_label.items()}
 
 
-def _top(own: np.ndarray, most: int, bound: float) -> np.ndarray:
+def _top(own: np.ndarray, bound: float, scale: float) -> np.ndarray:
+    """Centers for a label that has `scale` times the vectors of `own`."""
+    most = min(MOST_CENTERS, int(CENTERS * np.ceil(np.sqrt(scale))), len(own))
     chosen, apart = [own[0]], np.linalg.norm(own - own[0], axis=1)
-    while len(chosen) < min(most, len(own)) and apart.max() > bound:
+    while len(chosen) < most and apart.max() > bound:
         chosen.append(own[int(apart.argmax())])
         apart = np.minimum(apart, np.linalg.norm(own - chosen[-1], axis=1))
     chosen, costs = np.array(chosen), {}
     for count in {1, *(2 ** power for power in range(1, 12) if 2 ** power < len(chosen)), len(chosen)}:
-        cell, visits = _places(own, chosen[:count], bound)
-        homes = np.bincount(cell, minlength=count)
-        # Each copy of a vector costs about as much as 64 comparisons.
-        costs[count] = int((homes * (homes + visits.sum(axis=0))).sum()) + 64 * int(visits.sum())
+        homes, visitors = np.zeros(count), np.zeros(count)
+        for start in range(0, len(own), 1024):
+            cell, visits = _places(own[start:start + 1024], chosen[:count], bound)
+            homes += np.bincount(cell, minlength=count)
+            visitors += visits.sum(axis=0)
+        # A vector copied to another cell costs about as much as 64 comparisons; comparisons grow with the square of the scale.
+        costs[count] = scale * float((homes * (homes / 2 + visitors)).sum()) + 64 * float(visitors.sum())
     return chosen[:min(costs, key=lambda count: (costs[count], count))]
 
 
@@ -200,49 +208,70 @@ def _places(own: np.ndarray, centers: np.ndarray, bound: float) -> tuple[np.ndar
 def cells(points: DataFrame, centers: dict, bound: float) -> DataFrame:
     """`label`, `size`, `cell`, `home`, `id`, `weight`, `vector`: each vector in its own cell and in those it visits."""
     table = points.sparkSession.sparkContext.broadcast(centers)
+    kind = points.schema["vector"].dataType.elementType.simpleString()
 
     def work(rows):
         for id_, label, weight, vector in rows:
-            key, own = (label.decode(), len(vector)), unit([vector])
-            known, cell, vector = table.value.get(key), 0, own[0].tolist()
+            key, cell = (label.decode(), len(vector)), 0
+            known = table.value.get(key)
             if known is not None:
-                cells_, visits = _places(own, known, bound)
+                cells_, visits = _places(unit([vector]), known, bound)
                 cell = int(cells_[0])
                 for visited in np.flatnonzero(visits[0]).tolist():
                     yield key[0], len(vector), visited, False, id_, weight, vector
             yield key[0], len(vector), cell, True, id_, weight, vector
 
     schema = pa.schema([("label", pa.string()), ("size", pa.int32()), ("cell", pa.int32()), ("home", pa.bool_()),
-                        ("id", pa.int64()), ("weight", pa.int64()), ("vector", pa.list_(pa.float64()))])
+                        ("id", pa.int64()), ("weight", pa.int64()),
+                        ("vector", pa.list_(pa.float32() if kind == "float" else pa.float64()))])
     return points.select("id", "label", "weight", "vector").mapInArrow(
         arrow_rows(work, schema, flush_rows=4096),
-        "label string, size int, cell int, home boolean, id bigint, weight bigint, vector array<double>")
+        f"label string, size int, cell int, home boolean, id bigint, weight bigint, vector array<{kind}>")
+
+
+def block_pairs(placed: DataFrame) -> DataFrame:
+    """The rows of `cells`, dealt out to pairs of blocks `i`, `j` of their cell: `side` 0 belongs to `i`, `side` 1 to `j`.
+
+    Blocks of the cell's own vectors are numbered first and meet once (`i` <= `j`); a block that meets itself is sent
+    once. Blocks of visitors follow and meet every block of the cell's own. Cells that only have visitors drop out.
+    """
+    keys = ["label", "size", "cell"]
+    blocks = lambda home: F.ceil(F.count_if(F.col("home") == home) / BLOCK).cast("int")
+    sizes = placed.groupBy(*keys).agg(blocks(True).alias("own"), blocks(False).alias("visiting")).where("own > 0")
+    known = skew_safe_join(placed, sizes, keys).withColumn("block", F.when(
+        F.col("home"), F.pmod(F.xxhash64("id"), F.col("own"))).otherwise(
+        F.col("own") + F.pmod(F.xxhash64("id"), F.col("visiting"))).cast("int"))
+    columns = ["id", "weight", "vector", "home"]
+    left = known.where("home").select(
+        *keys, F.col("block").alias("i"), F.explode(F.sequence("block", F.col("own") + F.col("visiting") - 1)).alias("j"),
+        F.lit(0).alias("side"), *columns)
+    right = known.where("block > 0").select(
+        *keys, F.explode(F.sequence(F.lit(0), F.least("block", "own") - 1)).alias("i"), F.col("block").alias("j"),
+        F.lit(1).alias("side"), *columns)
+    return left.union(right).repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
 
 
 def _walk_blocks(least: float):
+    def tree_of(side: list) -> tuple[CoverTree, np.ndarray]:
+        tree = CoverTree(unit([row[8] for row in side]), np.array([row[7] for row in side], np.int64))
+        return tree, np.array([row[6] for row in side])[tree.order]
+
     def work(rows):
         for (_, _, _, i, j), group in groupby(rows, key=lambda row: row[:5]):
             group = list(group)
             sides = [[row for row in group if row[5] == side] for side in (0, 1)]
-            if not sides[0] or not sides[1]:
+            if not sides[0] or i != j and not sides[1]:
                 continue
-            # Homes meet homes and visitors. Within one block of homes every pair is seen twice, and each vector meets itself.
-            homes, others = sides[0], sides[1]
-            trees = [CoverTree(np.array([row[8] for row in side]), np.array([row[7] for row in side], np.int64))
-                     for side in (homes, others)]
-            links = Links(*trees, least)
+            # Within one block every pair is seen twice, and each vector meets itself: only the left side counts.
+            left, ids = tree_of(sides[0])
+            right, other_ids = (left, ids) if i == j else tree_of(sides[1])
+            links = Links(left, right, least)
             links.walk()
-            ids = [np.array([row[6] for row in side])[tree.order] for side, tree in zip((homes, others), trees)]
-            every = np.concatenate(ids)
-            home_only = np.array([row[9] for row in others])[trees[1].order]
-            for side in (0, 1):
+            every = np.concatenate([ids, other_ids])
+            for side in range(1 if i == j else 2):
                 base = side * links.shift
                 for place in np.flatnonzero(links.counts[side]).tolist():
-                    # Right-hand homes get their counts as left-hand homes of the mirrored block.
-                    count = int(links.counts[side][place])
-                    if side == 1 and home_only[place]:
-                        count = 0
-                    yield int(ids[side][place]), count, int(every[links.root(base + place)])
+                    yield int(every[base + place]), int(links.counts[side][place]), int(every[links.root(base + place)])
 
     return arrow_rows(work, pa.schema([("id", pa.int64()), ("n", pa.int64()), ("link", pa.int64())]))
 
@@ -254,17 +283,8 @@ def linked_vectors(embeddings: DataFrame, least: float = 0.93) -> DataFrame:
         F.min("vec_id").alias("id"), F.count("*").alias("weight")))
     bound = float(np.sqrt(max(0.0, 2 - 2 * least))) + SLACK
     placed = kept(cells(points, label_centers(points, bound), bound))
-    sizes = placed.groupBy("label", "size", "cell").agg(F.count("*").alias("n"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    keys = ["label", "size", "cell"]
-    dealt = skew_safe_join(placed, sizes.select(*keys, blocks.alias("blocks")), keys).withColumn(
-        "own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    columns = ["id", "weight", "vector", "home"]
-    left = dealt.where("home").select(*keys, F.col("own").alias("i"), every.alias("j"), F.lit(0).alias("side"), *columns)
-    right = dealt.select(*keys, every.alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), *columns)
-    pairs = left.union(right).repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
-    found = kept(pairs.mapInArrow(_walk_blocks(least), "id bigint, n bigint, link bigint"))
+    found = kept(block_pairs(placed).mapInArrow(_walk_blocks(least), "id bigint, n bigint, link bigint"))
+    superseded(placed)
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     joined = components(found.select(F.col("id").alias("a"), F.col("link").alias("b")))
     known = skew_safe_join(points.select("label", "vector", "id"), counts, ["id"], "left")
