@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.llm.shared import arrow_rows, components, kept, superseded
+from crawlspark.llm.shared import arrow_rows, attach, components, kept, superseded
 from crawlspark.operators.joins import skew_safe_join
 
 BLOCK = 2048
@@ -238,7 +238,7 @@ def block_pairs(placed: DataFrame) -> DataFrame:
     keys = ["label", "size", "cell"]
     blocks = lambda home: F.ceil(F.count_if(F.col("home") == home) / BLOCK).cast("int")
     sizes = placed.groupBy(*keys).agg(blocks(True).alias("own"), blocks(False).alias("visiting")).where("own > 0")
-    known = skew_safe_join(placed, sizes, keys).withColumn("block", F.when(
+    known = attach(placed, sizes, keys, F.lit(64), "inner").withColumn("block", F.when(
         F.col("home"), F.pmod(F.xxhash64("id"), F.col("own"))).otherwise(
         F.col("own") + F.pmod(F.xxhash64("id"), F.col("visiting"))).cast("int"))
     columns = ["id", "weight", "vector", "home"]
@@ -278,19 +278,23 @@ def _walk_blocks(least: float):
 
 def linked_vectors(embeddings: DataFrame, least: float = 0.93) -> DataFrame:
     """`vec_id`, `n_links`, `component_id`, `kept` per row: links at cosine >= `least` within a label."""
-    rows = kept(usable_vectors(embeddings).dropDuplicates(["vec_id", "label", "vector"]))
-    points = kept(rows.groupBy("label", "vector").agg(
-        F.min("vec_id").alias("id"), F.count("*").alias("weight")))
+    usable = usable_vectors(embeddings).withColumns({
+        "key": F.xxhash64("label", "vector"), "key_2": F.xxhash64("label", "vector", F.lit("second"))})
+    # Equal vectors of a label are told by two 64-bit hashes, so that only one of each travels, and only to be compared.
+    keys = ["key", "key_2"]
+    rows = kept(usable.select("vec_id", *keys).distinct())
+    weights = rows.groupBy(*keys).agg(F.count("*").alias("weight"), F.min("vec_id").alias("id"))
+    points = kept(skew_safe_join(usable.groupBy(*keys).agg(
+        F.first("label").alias("label"), F.first("vector").alias("vector")), weights, keys))
     bound = float(np.sqrt(max(0.0, 2 - 2 * least))) + SLACK
     placed = kept(cells(points, label_centers(points, bound), bound))
     found = kept(block_pairs(placed).mapInArrow(_walk_blocks(least), "id bigint, n bigint, link bigint"))
     superseded(placed)
     counts = found.groupBy("id").agg(F.sum("n").alias("n"))
     joined = components(found.select(F.col("id").alias("a"), F.col("link").alias("b")))
-    known = skew_safe_join(points.select("label", "vector", "id"), counts, ["id"], "left")
-    known = skew_safe_join(known, joined, ["id"], "left").select(
-        "label", "vector", "n", F.coalesce("component", "id").alias("component"))
-    per_vector = skew_safe_join(rows, known, ["label", "vector"]).groupBy("vec_id").agg(
+    known = skew_safe_join(points.select("id", *keys), counts, ["id"], "left")
+    known = skew_safe_join(known, joined, ["id"], "left").select(*keys, "n", F.coalesce("component", "id").alias("component"))
+    per_vector = skew_safe_join(rows, known, keys).groupBy("vec_id").agg(
         F.sum(F.col("n") - 1).alias("n"), F.min("component").alias("component"))
     vec_id = F.col("vec_id").cast("bigint")
     result = skew_safe_join(embeddings.select(vec_id.alias("vec_id")), per_vector, ["vec_id"], "left")
