@@ -52,6 +52,10 @@ def distinct_urls(spark, sf):
     return stats.distinct_urls(V.recrawled_content(spark, sf))
 
 
+def url_preview(spark, sf):
+    return stats.preview(stats.distinct_urls(V.recrawled_content(spark, sf)), "url")
+
+
 def distinct_hosts(spark, sf):
     return stats.distinct_hosts(V.recrawled_content(spark, sf))
 
@@ -362,7 +366,7 @@ def bottom_urls(spark, sf):
 
 
 QUERIES = {query.__name__: query for query in (
-    host_url_counts, crawl_totals, distinct_urls, distinct_hosts,
+    host_url_counts, crawl_totals, distinct_urls, url_preview, distinct_hosts,
     cdr_ids, cdr_dump_linked, cdr_dump_linked_left, cdr_dump_expanded, cdr_dump_state_time, cdr_dump_unlinked,
     cdr_json_roundtrip, cdr_json_roundtrip_linked, cdr_minimal, index_dump, index_dump_left, status_and_retry, fetch_time_text,
     image_paths, image_ids, image_relink, image_relink_chunks, relink_open_fields,

@@ -194,6 +194,15 @@ def test_hot_groups_stay_whole(spark):
     assert scores.count() == n and scores.where("score > 0").count() == n // 3
 
 
+def test_preview_is_the_first_rows_in_order(spark):
+    rows = spark.createDataFrame([(n % 7, f"r{n:02d}") for n in range(40)], "a int, b string").repartition(5)
+    assert [row.b for row in stats.preview(rows, "a", "b", n=7).collect()] == ["r00", "r07", "r14", "r21", "r28", "r35", "r01"]
+    assert [tuple(row) for row in stats.preview(rows, n=1).collect()] == [(0, "r00")]
+    assert stats.preview(rows).count() == 20 and stats.preview(rows.limit(0)).collect() == []
+    plan = stats.preview(rows, "b")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
 def inlink_sets_of(edges, limit):
     return links.inlink_sets(edges, max_inlinks=limit).collect()
 
