@@ -14,24 +14,31 @@ def _content_hash(column: str) -> Column:
 
 def _content_keys(dump: DataFrame) -> DataFrame:
     return dump.withColumns({
-        "url_hash": _content_hash("url"),
-        "content_hash": _content_hash("raw_content"),
+        "url_hash": F.unhex(_content_hash("url")),
+        "content_hash": F.unhex(_content_hash("raw_content")),
         "path": plain_path(F.col("path")),
     })
 
 
+def _exact_key(path: Column, doc_id: Column) -> Column:
+    """One hash of path, id and content keys. The length of the path says where the id begins."""
+    path = plain_path(path)
+    return F.unhex(F.sha2(F.concat_ws(
+        "\n", "url_hash", "content_hash", F.length(path).cast("string"), path, doc_id), 256))
+
+
 def dedup_index(dump: DataFrame) -> DataFrame:
     """Index of the documents to keep: one `(path, doc_id)` per distinct (url, content).
 
     `dump` holds dumped documents with the `path` they were read from. The
-    smallest path, then id, survives. Only hashes are grouped, with partial
+    smallest path, then id, survives. Only hashes are grouped, as bytes and with partial
     aggregation, so a group of copies of any size costs one row per task.
     """
     return (
         _content_keys(dump.select("path", "_id", "url", "raw_content"))
         .groupBy("url_hash", "content_hash")
         .agg(F.min(F.struct("path", F.col("_id").alias("doc_id"))).alias("kept"))
-        .select("kept.path", "kept.doc_id", "url_hash", "content_hash")
+        .select("kept.path", "kept.doc_id", F.hex("url_hash").alias("url_hash"), F.hex("content_hash").alias("content_hash"))
     )
 
 
@@ -46,20 +53,17 @@ def apply_dedup_index(dump: DataFrame, index: DataFrame, exact: bool = False) ->
         kept = index.select(plain_path(F.col("path")).alias("match_path"), F.col("doc_id").alias("_id")).distinct()
         keyed = dump.withColumn("match_path", plain_path(F.col("path")))
         return skew_safe_join(keyed, kept, ["match_path", "_id"], "left_semi").select(*columns)
-    keys = ["match_path", "_id", "url_hash", "content_hash"]
-    kept = index.select(plain_path(F.col("path")).alias("match_path"), F.col("doc_id").alias("_id"),
-                        "url_hash", "content_hash").distinct()
-    keyed = dump.withColumns({
-        "match_path": plain_path(F.col("path")),
-        "url_hash": _content_hash("url"),
-        "content_hash": _content_hash("raw_content"),
-        "row_hash": F.xxhash64(F.to_json(F.struct(*columns))),
-    })
-    # Lines with equal keys may differ in other fields: the smallest row hash stays, chosen on hashes alone.
-    first = keyed.groupBy(*keys).agg(F.min("row_hash").alias("row_hash"))
-    first = skew_safe_join(first, kept, keys, "left_semi")
-    keys = [*keys, "row_hash"]
-    return skew_safe_join(keyed, first, keys, "left_semi").dropDuplicates(keys).select(*columns)
+    kept = index.dropna(subset=["path", "doc_id", "url_hash", "content_hash"]).select(
+        _exact_key(F.col("path"), F.col("doc_id")).alias("key")).distinct()
+    keyed = dump.where("path is not null and _id is not null").select(
+        F.struct(*columns).alias("line"), F.xxhash64(F.to_json(F.struct(*columns))).alias("row_hash"),
+        "path", "_id", _content_hash("url").alias("url_hash"), _content_hash("raw_content").alias("content_hash"))
+    # Lines with equal keys may differ in other fields: that of the smallest row hash stays. Bodies move once, by one
+    # short key, and each task passes on one line per key, so neither copies nor a second join move any again.
+    first = keyed.select(_exact_key(F.col("path"), F.col("_id")).alias("key"), "row_hash", "line").groupBy("key").agg(
+        F.min_by("line", "row_hash").alias("line"))
+    # Both sides lie by key with one row each, so nothing is skewed and nothing moves for the join.
+    return first.join(kept, "key", "left_semi").select("line.*")
 
 
 def merge_segments(content: DataFrame, time: Column) -> DataFrame:
