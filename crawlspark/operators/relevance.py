@@ -42,13 +42,42 @@ def term_counts(texts: DataFrame, *keys: str, lower: bool = False, num_features:
     )
 
 
+def counted_terms(words: Column) -> Column:
+    """Distinct words of a list and how often each occurs, as `(term, tf)` entries. The list is sorted once."""
+    def counted(ordered: Column) -> Column:
+        starts = F.filter(F.transform(ordered, lambda word, place: F.when(
+            (place == 0) | (word != F.get(ordered, place - 1)), place)), lambda place: place.isNotNull())
+        return F.get(F.transform(F.array(starts), lambda first: F.transform(first, lambda place, n: F.struct(
+            F.get(ordered, place).alias("term"),
+            (F.coalesce(F.get(first, n + 1), F.size(ordered)) - place).cast("bigint").alias("tf")))), F.lit(0))
+
+    # One-element transforms give the sorted list and the starts a name, so that each is made once.
+    return F.get(F.transform(F.array(F.array_sort(words)), counted), F.lit(0))
+
+
+def text_terms(texts: DataFrame, *keys: str, lower: bool = False, num_features: int | None = None) -> DataFrame:
+    """`term_counts` of every row on its own: counting stays within the text, so no term is shuffled or held beside others."""
+    words = tokens(F.lower(F.col("text")) if lower else F.col("text"))
+    if num_features is not None:
+        words = F.transform(words, lambda word: term_bucket(word, num_features))
+    found = texts.select(*keys, F.inline_outer(counted_terms(words)))
+    return found.select(*keys, "term", F.coalesce("tf", F.lit(0).cast("bigint")).alias("tf"))
+
+
 def document_terms(texts: DataFrame, key: str) -> DataFrame:
-    """`term`, `tf` per text, for texts that are unique per key.
+    """`term`, `tf` per text. Texts that share a key, or have none, count as one.
 
-    The texts are shuffled once by key; counting then stays within that
-    partitioning, so the much longer list of terms is never shuffled.
+    A text whose key is its own is counted where it lies. Only those that share one are
+    grouped by key and term; one aggregate job over the keys finds them.
     """
-    return term_counts(texts.select(key, "text").repartition(key), key).where(F.col("term").isNotNull())
+    rows = texts.select(key, "text")
+    shared = settled(rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key))
+    marked = lookup_join(rows, shared.withColumn("shared", F.lit(True)), [key], "left")
+    # A row without key shares it with all others that have none.
+    alone = marked.where(F.col("shared").isNull() & F.col(key).isNotNull())
+    several = marked.where(F.col("shared").isNotNull() | F.col(key).isNull())
+    counts = text_terms(several, key).groupBy(key, "term").agg(F.sum("tf").alias("tf"))
+    return text_terms(alone, key).union(counts).where(F.col("term").isNotNull())
 
 
 # --- knowledge base: term frequency x inverse document frequency, lower case, without stop words ---
@@ -135,7 +164,7 @@ def score_texts(texts: DataFrame, key: str, profile: DataFrame, *, lower: bool =
         unseen = F.lit(1.0)
     if "doc_factor" not in profile.columns:
         profile = profile.withColumn("doc_factor", F.lit(1.0))
-    counts = term_counts(texts, key, lower=lower, num_features=num_features)
+    counts = text_terms(texts, key, lower=lower, num_features=num_features)
     known = lookup_join(counts, profile.select("term", "doc_factor", "weight"), ["term"], "left")
     weight = F.col("tf") * F.coalesce(F.col("doc_factor"), unseen)
     sums = (
@@ -194,14 +223,18 @@ def host_means(scores: DataFrame) -> DataFrame:
     return scores.groupBy(host(F.col("url")).alias("host")).agg(F.avg("score").alias("score"))
 
 
-def ranked(scores: DataFrame, name: str) -> DataFrame:
-    """Rows by score, largest first; equal scores by name."""
+def _in_order(scores: DataFrame, name: str) -> DataFrame:
     return scores.orderBy(F.desc(F.round("score", SCORE_DIGITS)), name)
 
 
+def ranked(scores: DataFrame, name: str) -> DataFrame:
+    """Rows by score, largest first; equal scores by name. Sorting reads its input twice, so scores are made once before."""
+    return _in_order(settled(scores), name)
+
+
 def top(scores: DataFrame, name: str, k: int = 20) -> DataFrame:
     """The k best rows of the ranking."""
-    return ranked(scores, name).limit(k)
+    return _in_order(scores, name).limit(k)
 
 
 def bottom(scores: DataFrame, name: str, k: int = 20) -> DataFrame:

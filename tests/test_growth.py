@@ -3,7 +3,7 @@
 import re
 from collections import Counter
 
-from crawlspark.operators import dedup
+from crawlspark.operators import dedup, relevance
 
 
 def plan_of(df) -> str:
@@ -27,3 +27,26 @@ def test_exact_dedup_keeps_one_of_equal_lines_and_tells_keys_apart(spark):
         "path string, doc_id string, url_hash string, content_hash string")
     kept = Counter(tuple(row)[1:] for row in dedup.apply_dedup_index(dump, index, exact=True).collect())
     assert kept == Counter({("a", "u", "body"): 1, ("a", None, "body"): 1, ("a", None, None): 1, ("c", "u", None): 1})
+
+
+def test_terms_are_counted_within_their_text(spark):
+    texts = spark.createDataFrame([(1, "b a b\tc a b"), (2, " \n "), (3, None), (4, "x")], "k bigint, text string")
+    found = relevance.text_terms(texts, "k")
+    assert "Exchange" not in plan_of(found) and "HashAggregate" not in plan_of(found)
+    assert {(row.k, row.term, row.tf) for row in found.collect()} == {
+        (row.k, row.term, row.tf) for row in relevance.term_counts(texts, "k").collect()}
+    bucketed = relevance.text_terms(texts, "k", num_features=2)
+    assert sorted(map(str, bucketed.collect())) == sorted(map(str, relevance.term_counts(texts, "k", num_features=2).collect()))
+
+
+def test_texts_that_share_a_key_are_one(spark):
+    texts = spark.createDataFrame([(1, "a b"), (1, "b"), (2, "b b"), (None, "c"), (None, "c d")], "k bigint, text string")
+    assert Counter(map(tuple, relevance.document_terms(texts, "k").collect())) == Counter(
+        [(1, "a", 1), (1, "b", 2), (2, "b", 2), (None, "c", 2), (None, "d", 1)])
+
+
+def test_ranked_scores_are_made_once(spark, tmp_path, monkeypatch):
+    settled = []
+    monkeypatch.setattr(relevance, "settled", lambda df: settled.append(df) or df)
+    scores = spark.createDataFrame([("a", 0.5), ("b", 0.7)], "url string, score double")
+    assert [row.url for row in relevance.ranked(scores, "url").collect()] == ["b", "a"] and settled == [scores]
