@@ -3,7 +3,9 @@
 import re
 from collections import Counter
 
-from crawlspark.operators import dedup, relevance
+from pyspark.sql import functions as F
+
+from crawlspark.operators import dedup, links, relevance
 
 
 def plan_of(df) -> str:
@@ -45,6 +47,20 @@ def test_texts_that_share_a_key_are_one(spark):
         [(1, "a", 1), (1, "b", 2), (2, "b", 2), (None, "c", 2), (None, "d", 1)])
 
 
+def test_more_edges_make_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(links, "EDGES_PER_TASK", 10)
+    edges = spark.range(400).select(F.concat(F.lit("t"), F.col("id") % 7).alias("to_url"),
+                                    F.concat(F.lit("f"), F.col("id") % 130).alias("from_url"))
+    sets = links.inlink_sets(edges, 3, slices=4)
+    assert "hashpartitioning(to_url" in plan_of(sets) and ", 40)" in plan_of(sets)
+    assert "HashAggregate(keys=[to_url" not in plan_of(sets).split("Window")[-1]
+    expected = {}
+    for row in edges.collect():
+        expected.setdefault(row.to_url, set()).add(row.from_url)
+    assert {row.url: (row.parent, row.inlinks, row.n_inlinks) for row in sets.collect()} == {
+        url: (min(found), sorted(found)[:4], len(found)) for url, found in expected.items()}
+
+
 def test_ranked_scores_are_made_once(spark, tmp_path, monkeypatch):
     settled = []
     monkeypatch.setattr(relevance, "settled", lambda df: settled.append(df) or df)
