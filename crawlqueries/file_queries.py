@@ -130,10 +130,10 @@ def url_ranks(spark, sf):
 
 def image_files(spark, sf):
     path = new_folder(spark)
-    writers.export_images(_binary(records.image_paths(V.content(spark, sf))).select("path", "content"), path)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(F.substring_index("path", "/", -5).alias("path"), F.col("length").alias("n_bytes"),
-                        body_text(F.col("content")).alias("text"))
+    images = _binary(records.image_paths(V.content(spark, sf))).select("path", "content")
+    writers.export_images(images, path)
+    files = readers.read_files(writers.exported_names(images), path, "path").where("content is not null")
+    return files.select("path", F.octet_length("content").cast("bigint").alias("n_bytes"), body_text(F.col("content")).alias("text"))
 
 
 QUERIES = {query.__name__: query for query in (

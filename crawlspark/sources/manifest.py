@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlspark.operators.joins import skew_safe_join
+from crawlspark.sources import readers
 
 FILES_PER_FOLDER = 1000
 MANIFEST = "path string, file string, n_bytes bigint, sha256 string"
-_FILE = r"/files/([0-9]{5,}-[0-9a-f]{32}/[0-9]+/[0-9]+)$"
 
 
 def _place(folder: str) -> str:
@@ -105,10 +105,10 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_exported(spark: SparkSession, folder: str) -> DataFrame:
-    """The manifest with the `content` of each file; null where a file is gone."""
-    manifest = read_manifest(spark, folder)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{_place(folder)}/files")
-    named = files.select(F.regexp_extract("path", _FILE, 1).alias("file"), "content")
-    # Spark's scans skip files of no length.
-    content = F.when(F.col("n_bytes") == 0, F.lit(bytearray())).otherwise(F.col("content")).alias("content")
-    return skew_safe_join(manifest, named, ["file"], "left").select("path", "file", "n_bytes", "sha256", content)
+    """The manifest with the `content` of each file; null where a file is gone.
+
+    The manifest names the files, so executors open them by name: no folder is listed.
+    """
+    place = f"{_place(folder)}/files"
+    return readers.read_files(read_manifest(spark, folder), place, "file").select(
+        "path", "file", "n_bytes", "sha256", "content")

@@ -94,6 +94,14 @@ def _safe(path: str) -> str:
     return "/".join("%2E%2E" if part == ".." else part for part in path.split("/") if part not in ("", "."))
 
 
+def exported_names(images: DataFrame) -> DataFrame:
+    """`path`: the names below its folder, once each, of the files that `export_images` writes."""
+    parts = F.transform(F.filter(F.split("path", "/"), lambda part: ~part.isin("", ".")),
+                        lambda part: F.when(part == "..", "%2E%2E").otherwise(part))
+    return images.where((F.col("path") != "") & F.col("content").isNotNull()).select(
+        F.array_join(parts, "/").alias("path")).distinct()
+
+
 def export_images(images: DataFrame, folder: str) -> int:
     """Write each image to `<folder>/<path>` from the executors; returns how many were written.
 

@@ -1,11 +1,13 @@
 """What must not grow faster than the input: bodies moved, memory of one task, names in the driver."""
 
+import os
 import re
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from crawlspark.operators import dedup, links, relevance
+from crawlspark.sources import manifest, readers, writers
 
 
 def plan_of(df) -> str:
@@ -61,6 +63,22 @@ def test_more_edges_make_more_tasks(spark, monkeypatch):
         url: (min(found), sorted(found)[:4], len(found)) for url, found in expected.items()}
 
 
+def test_files_are_read_by_name_without_listing(spark, tmp_path):
+    rows = [("com/a", b"one"), ("../b", b"\xff"), ("com/./c", b""), ("com/a", b"one"), ("", b"x"), (None, b"x"), ("d", None)]
+    images = spark.createDataFrame(rows, "path string, content binary")
+    writers.export_images(images, f"{tmp_path}/out")
+    names = writers.exported_names(images)
+    stored = {os.path.relpath(os.path.join(top, name), f"{tmp_path}/out") for top, _, found in os.walk(f"{tmp_path}/out") for name in found
+              if not name.startswith(".")}
+    assert {row.path for row in names.collect()} == stored
+    found = readers.read_files(names.union(spark.createDataFrame([("gone",)], "path string")), f"{tmp_path}/out", "path")
+    assert {row.path: row.content for row in found.collect()} == {"com/a": b"one", "%2E%2E/b": b"\xff", "com/c": b"", "gone": None}
+    manifest.export_with_manifest(images, f"{tmp_path}/listed")
+    read = manifest.read_exported(spark, f"{tmp_path}/listed")
+    assert "binaryFile" not in plan_of(read) and "FileScan binary" not in plan_of(read)
+    assert {row.path: row.content for row in read.collect()} == {"com/a": b"one", "../b": b"\xff", "com/./c": b""}
+
+
 def test_ranked_scores_are_made_once(spark, tmp_path, monkeypatch):
     settled = []
     monkeypatch.setattr(relevance, "settled", lambda df: settled.append(df) or df)
