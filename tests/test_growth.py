@@ -6,9 +6,12 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from crawlqueries.spark_queries import QUERIES
 from crawlspark.operators import dedup, links, relevance
 from crawlspark.sources import manifest, readers, writers
 
+SF = "/root/testdata/sf0.001"
+
 
 def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -79,6 +82,11 @@ def test_files_are_read_by_name_without_listing(spark, tmp_path):
     assert {row.path: row.content for row in read.collect()} == {"com/a": b"one", "../b": b"\xff", "com/./c": b""}
 
 
+def test_short_tables_are_dealt_out_before_work_on_them(spark):
+    plan = plan_of(QUERIES["cdr_ids"](spark, SF))
+    assert all(re.search(rf"hashpartitioning\({key}", plan) for key in ("o_orderkey", "p_partkey", "c_custkey"))
+
+
 def test_ranked_scores_are_made_once(spark, tmp_path, monkeypatch):
     settled = []
     monkeypatch.setattr(relevance, "settled", lambda df: settled.append(df) or df)
