@@ -1,5 +1,6 @@
 """What must not grow faster than the input: bodies moved, memory of one task, names in the driver."""
 
+import hashlib
 import os
 import re
 from collections import Counter
@@ -7,7 +8,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from crawlqueries.spark_queries import QUERIES
-from crawlspark.operators import dedup, links, relevance
+from crawlspark.operators import dedup, links, records, relevance
 from crawlspark.sources import manifest, readers, writers
 
 SF = "/root/testdata/sf0.001"
@@ -92,3 +93,16 @@ def test_ranked_scores_are_made_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(relevance, "settled", lambda df: settled.append(df) or df)
     scores = spark.createDataFrame([("a", 0.5), ("b", 0.7)], "url string, score double")
     assert [row.url for row in relevance.ranked(scores, "url").collect()] == ["b", "a"] and settled == [scores]
+
+
+def test_relinked_images_are_made_once_and_looked_up_by_bytes(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(records, "settled", lambda df: made.append(df) or df)
+    dump = spark.createDataFrame([("image/png", "a", (["a", "b"],)), ("image/png", None, None), ("text/html", "a", None)],
+                                 "content_type string, obj_parent string, crawl_data struct<inlinks: array<string>>")
+    times = spark.createDataFrame([("a", "5")], "url string, timestamp string")
+    relinked = records.relink_images(dump, times)
+    assert len(made) == 1 and re.search(r"unhex\(sha2\(.*\) AS link_key", plan_of(relinked))
+    known, unknown = (hashlib.sha256(text).hexdigest().upper() for text in (b"a-5", b"b-null"))
+    assert {(row.obj_parent, row.crawl_data and tuple(row.crawl_data.inlinks)) for row in relinked.collect()} == {
+        (known, tuple(sorted([known, unknown]))), (None, None)}
