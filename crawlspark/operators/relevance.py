@@ -18,6 +18,7 @@ from crawlspark.functions.urls import host
 from crawlspark.operators.joins import lookup_join, settled, skew_safe_join
 
 SCORE_DIGITS = 10
+TEXT_BYTES_PER_TASK = 4 << 20
 
 
 def term_bucket(term: Column, num_features: int) -> Column:
@@ -67,17 +68,13 @@ def text_terms(texts: DataFrame, *keys: str, lower: bool = False, num_features:
 def document_terms(texts: DataFrame, key: str) -> DataFrame:
     """`term`, `tf` per text. Texts that share a key, or have none, count as one.
 
-    A text whose key is its own is counted where it lies. Only those that share one are
-    grouped by key and term; one aggregate job over the keys finds them.
+    The texts are shuffled once by key; counting then stays within that
+    partitioning, so the much longer list of terms is never shuffled. Their bytes are summed first
+    (one job), so that a task holds the terms of about `TEXT_BYTES_PER_TASK` however many texts there are.
     """
-    rows = texts.select(key, "text")
-    shared = settled(rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key))
-    marked = lookup_join(rows, shared.withColumn("shared", F.lit(True)), [key], "left")
-    # A row without key shares it with all others that have none.
-    alone = marked.where(F.col("shared").isNull() & F.col(key).isNotNull())
-    several = marked.where(F.col("shared").isNotNull() | F.col(key).isNull())
-    counts = text_terms(several, key).groupBy(key, "term").agg(F.sum("tf").alias("tf"))
-    return text_terms(alone, key).union(counts).where(F.col("term").isNotNull())
+    size = texts.agg(F.sum(F.octet_length("text")).alias("size")).first()["size"] or 0
+    tasks = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TEXT_BYTES_PER_TASK))
+    return term_counts(texts.select(key, "text").repartition(tasks, key), key).where(F.col("term").isNotNull())
 
 
 # --- knowledge base: term frequency x inverse document frequency, lower case, without stop words ---
