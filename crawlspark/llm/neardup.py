@@ -196,10 +196,11 @@ def apart_pairs(mixed: DataFrame, classes: DataFrame, nearest: bool) -> DataFram
 
 def dense_clusters(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     """`id`, `comp`, `cluster`, `blocks` of the classes whose cluster is cheaper to compare as a whole than bucket by bucket."""
-    inner = kept(components(mixed.select(F.col("id").alias("a"), F.col("head").alias("b"))).select(
-        "id", F.col("component").alias("cluster")))
+    inner = components(mixed.select(F.col("id").alias("a"), F.col("head").alias("b"))).select(
+        "id", F.col("component").alias("cluster"))
     each = mixed.groupBy("id").agg(F.min("comp").alias("comp"), F.count("*").alias("buckets"))
-    named = skew_safe_join(skew_safe_join(each, inner, ["id"]), classes.select("id", "n_shingles"), ["id"])
+    # An id has one row in each of the three, so none can be hot.
+    named = each.join(inner, ["id"]).join(classes.select("id", "n_shingles"), ["id"])
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / VOLUME)).cast("int")
     sizes = named.groupBy("cluster").agg(blocks.alias("blocks"), F.count("*").alias("n"), F.sum("buckets").alias("dealt"))
     return skew_safe_join(named, sizes.where("blocks * n <= dealt").select("cluster", "blocks"), ["cluster"]).select(
@@ -338,8 +339,9 @@ def head_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Each class with the bucket head it meets most often, where their signatures are near enough."""
     met = members.where("id <> head").groupBy(F.col("id").alias("a"), F.col("head").alias("b")).count()
     best = met.groupBy("a").agg(F.max_by("b", F.struct("count", -F.col("b"))).alias("b"))
-    for side in "ab":
-        best = skew_safe_join(best, classes.select(F.col("id").alias(side), F.col("signature").alias(f"{side}_sign")), [side])
+    signs = [classes.select(F.col("id").alias(side), F.col("signature").alias(f"{side}_sign")) for side in "ab"]
+    # A class has one row here, but may be the head of a third of all.
+    best = skew_safe_join(best.join(signs[0], ["a"]), signs[1], ["b"])
 
     def near(rows):
         for a, b, left, right in rows:

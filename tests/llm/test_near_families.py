@@ -84,3 +84,41 @@ def test_superseded_tables_are_gone(spark, tmp_path, monkeypatch):
     assert table.count() == 5 and len(list(tmp_path.iterdir())) == 1
     shared.superseded(table)
     assert not list(tmp_path.iterdir())
+
+
+def reached(edges):
+    """The smallest id that each id of `edges` reaches."""
+    label = {id_: id_ for edge in edges for id_ in edge if edge[0] != edge[1]}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            if a != b and label[a] != label[b]:
+                label[a] = label[b] = min(label[a], label[b])
+                changed = True
+    return label
+
+
+EDGES = {
+    "chain": [(n * 37 % 101, (n + 1) * 37 % 101) for n in range(40)], "none": [(3, 3)],
+    "hubs": [(1000, n) for n in range(60)] + [(n, -1) for n in range(90, 120)] * 2 + [(n, 2000 + n % 2) for n in range(200, 230)] + [(205, 2001)]}
+
+
+@pytest.mark.parametrize("name", EDGES)
+@pytest.mark.parametrize("held, broadcast", [(100_000, 1 << 25), (5, 0)])
+def test_components_reach_the_smallest_id(spark, monkeypatch, name, held, broadcast):
+    monkeypatch.setattr(shared, "BROADCAST_BYTES", broadcast)
+    monkeypatch.setattr(shared, "STAR_ROWS", held)
+    edges = spark.createDataFrame(EDGES[name], "a bigint, b bigint").repartition(4)
+    found = shared.components(edges).collect()
+    assert {row.id: row.component for row in found} == reached(EDGES[name]) and len(found) == len(reached(EDGES[name]))
+
+
+def test_a_round_of_components_takes_few_shuffles(spark, tmp_path, monkeypatch):
+    """A deep tree of links: tables written, and shuffles among them, do not grow with its depth."""
+    plans = []
+    kept = shared.kept
+    monkeypatch.setattr(shared, "kept", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df))
+    edges = spark.createDataFrame([(n, n // 2) for n in range(1, 2000)], "a bigint, b bigint").repartition(5)
+    assert {row.component for row in shared.components(edges).collect()} == {0}
+    assert sum(plan.count("Exchange hash") for plan in plans) <= 9
