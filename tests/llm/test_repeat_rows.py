@@ -72,3 +72,17 @@ def test_passages_across_the_seams_of_pieces(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == expected_bytes(rows)
     found = recompression.remove_later(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
     assert sorted(map(tuple, found.collect())) == expected_words(rows)
+
+
+def test_planted_passages_over_many_files(spark, tmp_path):
+    """60 shared words go where they make 400 bytes, and stay where they do not; `n_removed` tells which, `n_bytes` does not."""
+    brief = " ".join(f"w{n}" for n in np.random.default_rng(40).integers(10, 100, 60))
+    long = text_of(41, 60)
+    assert len(brief) < 400 <= len(long)
+    rows = [(n, " ".join([text_of(100 + n, 60 + n), ("", brief, long)[n % 3], text_of(200 + n, 40)])) for n in range(60)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(20).write.parquet(str(tmp_path / "documents"))
+    found = suffixes.remove_repeats(spark.read.parquet(str(tmp_path / "documents"))).select("doc_id", "n_bytes", "n_removed", "kept_sha256")
+    found = sorted(map(tuple, found.collect()))
+    assert found == expected_bytes(rows)
+    assert [n_removed > 0 for _, _, n_removed, _ in found] == [n % 3 == 2 for n in range(60)]
+    assert [n_bytes for _, n_bytes, _, _ in found] == [len(text) for _, text in rows]
