@@ -132,7 +132,7 @@ def image_files(spark, sf):
     path = new_folder(spark)
     images = _binary(records.image_paths(V.content(spark, sf))).select("path", "content")
     writers.export_images(images, path)
-    files = readers.read_files(writers.exported_names(images), path, "path").where("content is not null")
+    files = readers.read_files(writers.exported_files(images), path, "file").where("content is not null")
     return files.select("path", F.octet_length("content").cast("bigint").alias("n_bytes"), body_text(F.col("content")).alias("text"))
 
 

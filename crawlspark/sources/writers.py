@@ -82,29 +82,64 @@ def one_image_per_path(images: DataFrame) -> DataFrame:
     of one path all stay.
     """
     named = images.where((F.col("path") != "") & F.col("content").isNotNull()).select(
-        "path", F.col("content").cast("binary").alias("content"), F.sha2(F.col("content"), 256).alias("hash"))
+        "path", F.col("content").cast("binary").alias("content"), F.unhex(F.sha2(F.col("content"), 256)).alias("hash"))
     hashes = named.select("path", "hash").distinct()
     clashing = hashes.groupBy("path").agg(F.min("hash").alias("least"), F.count("*").alias("n")).where("n > 1")
     losing = hashes.join(clashing, "path").where("hash <> least").select("path", "hash")
     return lookup_join(named, losing, ["path", "hash"], "left_anti").select("path", "content")
 
 
-def _safe(path: str) -> str:
-    """A path that stays below its folder: steps upwards are percent-encoded."""
-    return "/".join("%2E%2E" if part == ".." else part for part in path.split("/") if part not in ("", "."))
+#: Names that one folder holds, about. ext4 refuses more in a folder after some 5.5 million image names.
+NAMES_PER_FOLDER = 100_000
+
+
+def _safe(path: Column) -> Column:
+    """A path that stays below its folder: steps upwards are percent-encoded, as are names like those of `_dealt_files`."""
+    parts = F.transform(F.filter(F.split(path, "/"), lambda part: ~part.isin("", ".")),
+                        lambda part: F.when(part == "..", "%2E%2E").when(
+                            part.rlike("^~[0-9]+$"), F.concat(F.lit("%7E"), F.substring(part, 2, 1 << 30))).otherwise(part))
+    return F.array_join(parts, "/")
+
+
+def _exported(images: DataFrame) -> DataFrame:
+    return images.where((F.col("path") != "") & F.col("content").isNotNull())
+
+
+def _folder(file: Column) -> Column:
+    """The folder of a file, with a slash behind it; empty for a file in the top folder."""
+    return F.regexp_extract(file, "^(.*/)?", 0)
+
+
+def _dealt_files(paths: DataFrame, images: DataFrame) -> DataFrame:
+    """`paths` with the `file` below the export's folder that each `path` of `images` is written to.
+
+    That is the path itself, but names of a folder that gets more than `NAMES_PER_FOLDER` of them are dealt to
+    folders `~<number>` in it by their hash. There are few such folders, however many names, so they are broadcast.
+    """
+    crowded = _exported(images).groupBy(_folder(_safe(F.col("path"))).alias("__folder")).agg(F.count("*").alias("n")).where(
+        F.col("n") > NAMES_PER_FOLDER).select("__folder", F.ceil(F.col("n") / NAMES_PER_FOLDER).alias("__folders"))
+    placed = paths.withColumn("__file", _safe(F.col("path"))).withColumn("__folder", _folder(F.col("__file"))).join(
+        F.broadcast(crowded), "__folder", "left")
+    name = F.substring_index("__file", "/", -1)
+    below = F.concat("__folder", F.lit("~"), F.pmod(F.xxhash64(name), F.col("__folders")).cast("string"), F.lit("/"), name)
+    return placed.select(*paths.columns, F.coalesce(below, "__file").alias("file"))
 
 
 def exported_names(images: DataFrame) -> DataFrame:
-    """`path`: the names below its folder, once each, of the files that `export_images` writes."""
-    parts = F.transform(F.filter(F.split("path", "/"), lambda part: ~part.isin("", ".")),
-                        lambda part: F.when(part == "..", "%2E%2E").otherwise(part))
-    return images.where((F.col("path") != "") & F.col("content").isNotNull()).select(
-        F.array_join(parts, "/").alias("path")).distinct()
+    """`path`: the paths below its folder, once each, of the images that `export_images` writes."""
+    return _exported(images).select(_safe(F.col("path")).alias("path")).distinct()
+
+
+def exported_files(images: DataFrame) -> DataFrame:
+    """`path`, `file`: `exported_names` and the file below its folder that holds each."""
+    return _dealt_files(exported_names(images), images)
 
 
 def export_images(images: DataFrame, folder: str) -> int:
     """Write each image to `<folder>/<path>` from the executors; returns how many were written.
 
+    Names of folders that would hold more than `NAMES_PER_FOLDER` are dealt to folders below; `exported_files` tells where.
+
     `folder` is a local path or a URI that `pyarrow.fs` opens (`file`, `hdfs`, `s3`, `gs`). All executors must
     see it: the driver leaves a mark there, and a task that does not find it fails. A file is written
     under a passing name and then moved, so a task that is run again replaces its
@@ -123,8 +158,8 @@ def export_images(images: DataFrame, folder: str) -> int:
         if system.get_file_info(f"{root}/{mark}").type != FileType.File:
             raise FileNotFoundError(f"{folder} is not shared with this executor")
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                target = f"{root}/{_safe(path.as_py())}"
+            for file, content in zip(batch.column("file"), batch.column("content")):
+                target = f"{root}/{file.as_py()}"
                 passing = f"{target}.{uuid.uuid4().hex}.tmp"
                 system.create_dir(target.rpartition("/")[0])
                 try:
@@ -143,7 +178,8 @@ def export_images(images: DataFrame, folder: str) -> int:
             yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
 
     try:
-        written = one_image_per_path(images).mapInArrow(write_batches, "n bigint")
+        placed = _dealt_files(one_image_per_path(images), images)
+        written = placed.mapInArrow(write_batches, "n bigint")
         return written.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     finally:
         system.delete_file(f"{root}/{mark}")

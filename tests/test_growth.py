@@ -83,6 +83,21 @@ def test_files_are_read_by_name_without_listing(spark, tmp_path):
     assert {row.path: row.content for row in read.collect()} == {"com/a": b"one", "../b": b"\xff", "com/./c": b""}
 
 
+def test_no_folder_of_images_gets_all_names(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "NAMES_PER_FOLDER", 50)
+    crowd = spark.range(400).selectExpr("concat('com/site/', id) path", "cast(id as string) content")
+    rows = [("com/~3/one", "a"), ("top", "b"), ("com/site/7/x", "c")]
+    images = crowd.union(spark.createDataFrame(rows, "path string, content string")).union(crowd.where("id < 3"))
+    images = images.withColumn("content", F.col("content").cast("binary"))
+    assert writers.export_images(images, f"{tmp_path}/out") == 406
+    names = {top: [name for name in found if not name.startswith(".")] for top, _, found in os.walk(f"{tmp_path}/out")}
+    assert sum(map(len, names.values())) == 403 and max(map(len, names.values())) < 90
+    files = readers.read_files(writers.exported_files(images), f"{tmp_path}/out", "file").collect()
+    assert {(row.path, row.content) for row in files} == {
+        *((f"com/site/{n}", str(n).encode()) for n in range(400)), ("com/%7E3/one", b"a"), ("top", b"b"), ("com/site/7/x", b"c")}
+    assert {row.file for row in files} == {os.path.relpath(f"{top}/{name}", f"{tmp_path}/out") for top, found in names.items() for name in found}
+
+
 def test_short_tables_are_dealt_out_before_work_on_them(spark):
     plan = plan_of(QUERIES["cdr_ids"](spark, SF))
     assert all(re.search(rf"hashpartitioning\({key}", plan) for key in ("o_orderkey", "p_partkey", "c_custkey"))
