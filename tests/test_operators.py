@@ -132,6 +132,18 @@ def test_colliding_metadata_names(spark):
     assert catalogue == {"bc_l_md": (2, 2), "n_ls_md": (1, 1)}
 
 
+def test_field_catalogue_counts_pages_and_typed_values(spark):
+    one = ('<html><meta name="B c" content="2"><meta name="BC" content="1"><meta name="n" content="1"><meta name="n" content="x">'
+           '<meta name="n" content="7">')
+    two = '<html><meta name="bc" content="5"><meta name="id" content="3"><meta name="ID" content="x">'
+    df = spark.createDataFrame([("s", "u", "text/html", one, None), ("s", "v", "text/html", two, None), ("s", "w", "image/png", two, None)],
+                               CONTENT)
+    catalogue = {row.field: (row.kind, row.n_pages, row.n_values, row.n_names, row.first_name, row.names)
+                 for row in metadata.field_catalogue(df).collect()}
+    assert catalogue == {"bc_l_md": ("long", 2, 3, 3, "B c", ["B c", "BC", "bc"]), "n_ls_md": ("long", 1, 2, 1, "n", ["n"]),
+                         "id_md": ("long", 1, 1, 1, "id", ["id"]), "id_t_md": ("text", 1, 1, 1, "ID", ["ID"])}
+
+
 def test_index_records_as_flat_json(spark, content):
     page = ('<html><title>A "t"</title><meta name="size" content="3"><meta name="k" content="true">'
             '<meta name="k" content="false"><meta name="id" content="x"><a href="b">b</a>')
