@@ -41,15 +41,28 @@ def write_index(index: DataFrame, path: str) -> None:
     index.select(index_json(index).alias("value")).write.mode("errorifexists").text(path)
 
 
+#: Documents that one compressed file of `write_parts` holds at most: it is read by one task.
+LINES_PER_FILE = 200_000
+#: Files that one task of `write_parts` keeps open; with more parts than that, its rows are sorted by part.
+OPEN_FILES = 32
+
+
 def write_parts(df: DataFrame, path: str) -> None:
-    """Dumped documents in one folder per input part (`part=<file name>`), in one job.
+    """Dumped documents in one folder per input part (`part=<file name>`), in one job, as gzipped JSON lines.
 
-    Rebalancing lets adaptive execution split a part that holds most of the rows
-    and merge small ones.
+    Documents are written where they were read. No row is moved, and none is sorted while a task meets few parts;
+    a large part is written by all tasks that read from it.
     """
     part = F.regexp_extract(plain_path(F.col("path")), r"([^/]*)$", 1)
     named = df.withColumn("part", part).drop("path")
-    named.hint("rebalance", "part").write.mode("errorifexists").partitionBy("part").json(path)
+    conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, OPEN_FILES)
+    try:
+        named.write.mode("errorifexists").partitionBy("part").options(
+            compression="gzip", maxRecordsPerFile=LINES_PER_FILE, **{"zlib.compress.level": "BEST_SPEED"}).json(path)
+    finally:
+        conf.set(name, before)
 
 
 def write_document_parts(documents: DataFrame, path: str) -> None:

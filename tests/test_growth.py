@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crawlqueries.spark_queries import QUERIES
 from crawlspark.operators import dedup, links, records, relevance
-from crawlspark.sources import manifest, readers, writers
+from crawlspark.sources import catalogue, manifest, readers, writers
 
 SF = "/root/testdata/sf0.001"
 
@@ -103,6 +103,25 @@ def test_short_tables_are_dealt_out_before_work_on_them(spark):
     assert all(re.search(rf"hashpartitioning\({key}", plan) for key in ("o_orderkey", "p_partkey", "c_custkey"))
 
 
+def test_dump_parts_are_small_and_written_where_rows_lie(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "LINES_PER_FILE", 10)
+    monkeypatch.setattr(writers, "OPEN_FILES", 2)
+    body = "a page of words " * 100
+    dump = spark.range(0, 150, 1, 3).selectExpr("concat('file:///d/part-', id % 5) path", "cast(id as string) _id",
+                                                f"concat('{body}', id) raw_content")
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    writers.write_parts(dump, f"{tmp_path}/out")
+    assert spark.conf.get(name) == before
+    files = [os.path.join(top, name) for top, _, found in os.walk(f"{tmp_path}/out") for name in found if name.startswith("part-")]
+    assert len(files) == 15 and all(file.endswith(".json.gz") for file in files)  # ten lines of each part in each task
+    assert sum(map(os.path.getsize, files)) < 150 * len(body) / 5
+    found = catalogue.read_dump_parts(spark, f"{tmp_path}/out").collect()
+    assert {(row.part, row._id, row.raw_content) for row in found} == {
+        (f"part-{n % 5}", str(n), f"{body}{n}") for n in range(150)} and len(found) == 150
+    assert readers.read_dump(spark, f"{tmp_path}/out").count() == 150
+
+
 def test_ranked_scores_are_made_once(spark, tmp_path, monkeypatch):
     settled = []
     monkeypatch.setattr(relevance, "settled", lambda df: settled.append(df) or df)
