@@ -8,7 +8,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from crawlqueries.spark_queries import QUERIES
-from crawlspark.operators import dedup, links, records, relevance
+from crawlspark.operators import dedup, joins, links, records, relevance
 from crawlspark.sources import catalogue, manifest, readers, writers
 
 SF = "/root/testdata/sf0.001"
@@ -67,6 +67,45 @@ def test_more_edges_make_more_tasks(spark, monkeypatch):
         url: (min(found), sorted(found)[:4], len(found)) for url, found in expected.items()}
 
 
+def test_chunks_move_edges_once_to_their_target(spark, monkeypatch):
+    monkeypatch.setattr(links, "EDGES_PER_TASK", 60)
+    edges = spark.range(900).select(F.when(F.col("id") % 3 == 0, "hub").otherwise(F.concat(F.lit("t"), F.col("id") % 40)).alias("to_url"),
+                                    F.concat(F.lit("f"), F.col("id") % 700).alias("from_url"))
+    edges = edges.union(spark.createDataFrame([("t1", None), (None, "f1")], edges.schema))
+    expected = {}
+    for row in edges.dropna().collect():
+        expected.setdefault(row.to_url, set()).add(row.from_url)
+    assert len(expected["hub"]) > 60 > max(len(found) for url, found in expected.items() if url != "hub")
+    chunks = links.inlink_chunks(edges, chunk_size=8, slices=4)
+    rows = chunks.collect()
+    assert len({(row.url, row.chunk) for row in rows}) == len(rows) and len([row for row in rows if row.url == "hub"]) > 20
+    assert {url: {(row.n_inlinks, link) for row in rows if row.url == url for link in row.inlinks} for url in expected} == {
+        url: {(len(found), link) for link in found} for url, found in expected.items()}
+    assert sum(len(row.inlinks) for row in rows) == sum(map(len, expected.values()))
+    times = spark.createDataFrame([("f1", "5")], "url string, timestamp string")
+    assert len(re.findall(r"Exchange hashpartitioning\(to_url[^,]*, deal", plan_of(links.relinked_chunks(edges, times)))) == 1
+    assert not re.search(r"Exchange hashpartitioning\([^)]*chunk", plan_of(links.relinked_chunks(edges, times)))
+
+
+def test_joins_carry_no_hash_of_their_key(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, x int")
+    right = spark.createDataFrame([("b", 5), ("c", 6), (None, 7)], "k string, y int")
+    found = {how: Counter(map(tuple, joins.skew_safe_join(left, right, ["k"], how).collect())) for how in (
+        "inner", "left", "full", "left_semi", "left_anti")}
+    assert found == {
+        "inner": Counter([("b", 2, 5)]), "left": Counter([("a", 1, None), ("b", 2, 5), (None, 3, None)]),
+        "full": Counter([("a", 1, None), ("b", 2, 5), (None, 3, None), ("c", None, 6), (None, None, 7)]),
+        "left_semi": Counter([("b", 2)]), "left_anti": Counter([("a", 1), (None, 3)])}
+    counts = left.groupBy("k").agg(F.sum("x").alias("n"))
+    for hint in ("merge", "shuffle_hash"):
+        plan = plan_of(joins.skew_safe_join(left, counts.hint(hint), ["k"]))
+        assert len(re.findall(r"Exchange hashpartitioning\(k[^,]*, xxhash64\(", plan)) == 1
+        assert len(re.findall(r"Exchange hashpartitioning\(__right_k[^,]*, xxhash64\(", plan)) == 1
+        assert "key_hash" not in plan
+    again = joins.skew_safe_join(left, left.withColumn("z", F.col("x") + 1).select("k", "z"), ["k"])
+    assert Counter(map(tuple, again.collect())) == Counter([("a", 1, 2), ("b", 2, 3)])
+
+
 def test_files_are_read_by_name_without_listing(spark, tmp_path):
     rows = [("com/a", b"one"), ("../b", b"\xff"), ("com/./c", b""), ("com/a", b"one"), ("", b"x"), (None, b"x"), ("d", None)]
     images = spark.createDataFrame(rows, "path string, content binary")
