@@ -38,7 +38,7 @@ def dump_parts_pruned(spark, sf):
 
 
 def _rejected(dump):
-    return settled(rejected.rejected_index(dump, settled(dedup.dedup_index(dump))))
+    return settled(rejected.rejected_index(dump, dedup.settled_index(dedup.dedup_index(dump))))
 
 
 def rejected_index(spark, sf):
