@@ -37,6 +37,41 @@ def test_exact_dedup_keeps_one_of_equal_lines_and_tells_keys_apart(spark):
     assert kept == Counter({("a", "u", "body"): 1, ("a", None, "body"): 1, ("a", None, None): 1, ("c", "u", None): 1})
 
 
+def test_index_groups_short_urls_and_bytes(spark):
+    low, high, long_url = "0" * 64, "F" * 64, "http://h/" + "x" * 90
+    rows = [("file:/d/p1", high, "u", "b"), ("file:/d/p1", low, "u", "b"), ("file:/d/p1", "1", "u", "b"), ("file:/d/p1", "f" * 64, "u", "b"),
+            ("file:/d/p2", low, long_url, "b"), ("file:/d/p1", "x", long_url, "b"), ("file:/d/p1", None, "n", "b"),
+            ("file:/d/p1", low, "n", "b"), (None, high, "n", None), ("file:/d/p3", high, None, None), ("file:/d/p3", low, "", None),
+            ("file:/d/p4", low + "\n", "l", "b"), ("file:/d/p4", low + "a", "l", "b")]
+    dump = spark.createDataFrame(rows, "path string, _id string, url string, raw_content string")
+    digest = lambda text: "" if text is None else hashlib.sha256(text.encode()).hexdigest().upper()
+    expected = {}
+    for path, doc_id, url, content in rows:
+        # Nulls are smallest, in paths and in ids.
+        kept = tuple((value is not None, value or "") for value in (path and path.replace("file:", ""), doc_id))
+        expected[digest(url), digest(content)] = min(kept, expected.get((digest(url), digest(content)), kept))
+    index = dedup.dedup_index(dump)
+    for found in (index, dedup.settled_index(index)):
+        assert Counter(map(tuple, found.collect())) == Counter(
+            (path if has_path else None, doc_id if has_id else None, *hashes)
+            for hashes, ((has_path, path), (has_id, doc_id)) in expected.items())
+    assert "Exchange hashpartitioning(short_url" in plan_of(index)
+
+
+def test_list_of_many_documents_is_met_in_several_places(spark, monkeypatch):
+    monkeypatch.setattr(records, "DOCUMENTS_PER_LIST", 10)
+    rows = [(str(n), "image/png", "p", (["p", "q"],)) for n in range(95)] + [(f"n{n}", "image/png", None, None) for n in range(25)] + [
+        ("e", "image/png", None, ([],)), ("o", "image/png", "q", (["q"],))]
+    dump = spark.createDataFrame(rows, "_id string, content_type string, obj_parent string, crawl_data struct<inlinks: array<string>>")
+    times = spark.createDataFrame([("p", "5")], "url string, timestamp string")
+    relinked = records.relink_images(dump.repartition(4), times)
+    p, q = (hashlib.sha256(text).hexdigest().upper() for text in (b"p-5", b"q-null"))
+    assert Counter((row._id, row.obj_parent, row.crawl_data and tuple(row.crawl_data.inlinks)) for row in relinked.collect()) == Counter(
+        [(str(n), p, tuple(sorted([p, q]))) for n in range(95)] + [(f"n{n}", None, None) for n in range(25)] + [("e", None, ()), ("o", q, (q,))])
+    plan = plan_of(relinked)
+    assert plan.count("Exchange hashpartitioning(link_key") >= 2 and not re.search(r"Exchange hashpartitioning\(link_key[^)]*xxhash64", plan)
+
+
 def test_terms_are_counted_within_their_text(spark):
     texts = spark.createDataFrame([(1, "b a b\tc a b"), (2, " \n "), (3, None), (4, "x")], "k bigint, text string")
     found = relevance.text_terms(texts, "k")
